@@ -98,10 +98,10 @@ def add_constants(df: DataFrame, constants: Mapping[str, object],
 
 
 def field_pairs(fields: Iterable[str | Mapping[str, str]]) -> list[tuple[str, str]]:
-    """``[name | {source: alias}]`` -> ``[(source, alias)]``."""
+    """``[name | {source: alias} | (source, alias)]`` -> ``[(source, alias)]``."""
     pairs: list[tuple[str, str]] = []
     for f in fields or []:
-        pairs.extend(f.items() if isinstance(f, Mapping) else [(f, f)])
+        pairs.extend(f.items() if isinstance(f, Mapping) else [f if isinstance(f, tuple) else (f, f)])
     return [(str(s), str(a)) for s, a in pairs]
 
 
