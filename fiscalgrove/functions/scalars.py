@@ -55,7 +55,7 @@ def as_col(c: Column | str) -> Column:
 
 def norm_reg(c: Column | str) -> Column:
     """Record type: upper case, trimmed, only letters and digits."""
-    return F.regexp_replace(F.trim(F.upper(as_col(c))), "[^A-Z0-9]", "")
+    return F.regexp_replace(F.upper(as_col(c)), "[^A-Z0-9]", "")
 
 
 def br_decimal(c: Column | str) -> Column:

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fiscalgrove.catalog import ContractError
 from fiscalgrove.operators.columns import (
@@ -30,11 +31,21 @@ def file_column(df: DataFrame) -> str | None:
     return next((c for c in ("_file_id", "FILE_ID", "_source_file") if c in df.columns), None)
 
 
-def _entity_frame(spark: SparkSession, entity: Entity, source: DataFrame | None) -> DataFrame:
+def _id_type(sources) -> str:
+    """Line ids are compared as longs; as text only where some source has other ids."""
+    for df in sources:
+        kinds = {} if df is None else {f.name: f.dataType for f in df.schema.fields}
+        for name in ("_row_id", "_parent_uid_final"):
+            if name in kinds and not isinstance(kinds[name], (T.LongType, T.IntegerType)):
+                return "string"
+    return "long"
+
+
+def _entity_frame(spark: SparkSession, entity: Entity, source: DataFrame | None, id_type: str) -> DataFrame:
     """Business fields, metadata, and the link columns ``_file, _id, _parent``."""
     if source is None:
         fields = {a: "string" for _, a in entity.fields}
-        return empty_frame(spark, {**fields, "_file": "string", "_id": "string", "_parent": "string"})
+        return empty_frame(spark, {**fields, "_file": "string", "_id": id_type, "_parent": id_type})
     if "_row_id" not in source.columns:
         raise ContractError(f"{entity.name}: no _row_id column")
     names = [a for _, a in entity.fields]
@@ -43,7 +54,7 @@ def _entity_frame(spark: SparkSession, entity: Entity, source: DataFrame | None)
     file_col = file_column(source)
     return select_fields(source, entity.fields, absent_null=False, keep=[
         (F.col(file_col) if file_col else F.lit("")).cast("string").alias("_file"),
-        F.col("_row_id").cast("string").alias("_id"), parent.cast("string").alias("_parent"),
+        F.col("_row_id").cast(id_type).alias("_id"), parent.cast(id_type).alias("_parent"),
         *[F.col(c) for c in meta]])
 
 
@@ -61,7 +72,8 @@ def compile_hierarchy(spark: SparkSession, config: Mapping, registers: Registers
     record type and line id come last as ``REG`` and ``row_id``.
     """
     spec = HierarchySpec.parse(config)
-    frames = {n: _entity_frame(spark, e, registers.get(e.source)) for n, e in spec.entities.items()}
+    id_type = _id_type(registers.get(e.source) for e in spec.entities.values())
+    frames = {n: _entity_frame(spark, e, registers.get(e.source), id_type) for n, e in spec.entities.items()}
     shown: dict[str, str] = {}   # output column -> the entity it comes from
     for n in [spec.grain, *spec.chain]:
         for c in _business(frames[n]):
@@ -98,7 +110,7 @@ def compile_hierarchy(spark: SparkSession, config: Mapping, registers: Registers
         out = out.join(right, hit, "left").drop("_l_file", "_l_up")
         reach.add(n)
     order = list(shown) + [c for c in _business(out) if c not in shown]
-    line = [] if "row_id" in order else [F.col(f"_id_{spec.grain}").alias("row_id")]
+    line = [] if "row_id" in order else [F.col(f"_id_{spec.grain}").cast("string").alias("row_id")]
     kind = [] if "REG" in order else [F.lit(spec.entities[spec.grain].source).alias("REG")]
     final = out.select(*[c for c in order if c in out.columns], *kind, *line)
     listed = config.get("output_columns")

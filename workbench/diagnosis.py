@@ -217,8 +217,9 @@ OPP_SQL = f"WITH {_ALL}, {_OPPS} SELECT * REPLACE (round(estimated_credit,4) AS
 
 
 def viability_query(spark, sf):
-    """Estimated recovery and the viability index."""
-    return money(_scored(spark, sf)[0].select(*K, "estimated_recovery", "commercial_viability_index"), "estimated_recovery", "commercial_viability_index", digits=8)
+    """Estimated recovery (opportunity rows summed per key) and the viability index."""
+    scored, found = _scored(spark, sf)
+    return money(viability(scored.select(*K, "final_score"), found).select(*K, "estimated_recovery", "commercial_viability_index"), "estimated_recovery", "commercial_viability_index", digits=8)
 
 
 _VIA = """rec AS (SELECT "CNPJ","DT_INI",sum(estimated_credit) AS er FROM opps GROUP BY ALL),

@@ -11,7 +11,7 @@ from fiscalgrove.operators.columns import order_columns, project_record, project
 from fiscalgrove.operators.tree import header_of_files, link_parents, misplaced_lines, propagate_header
 from fiscalgrove.operators.version import latest_version, resolve_amended_headers, resolve_amended_names
 from fiscalgrove.session import scratch_dir
-from fiscalgrove.sources.records import discover_periods, number_lines, parse_records, read_lines
+from fiscalgrove.sources.records import discover_periods, number_lines, parse_records, read_lines, tag_records
 from workbench.derive import CATALOGUE, RULES, br_text, pipe, record_lines, stored, table
 
 
@@ -75,7 +75,7 @@ TREE_SQL = """SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN turn
 
 def record_tree_fiscal(spark, sf):
     """Header, document and item lines of every customer's return, linked to their parents."""
-    lines = stored(parse_records(record_lines(spark, sf)), "bronze")
+    lines = stored(tag_records(record_lines(spark, sf)), "bronze")
     return link_parents(lines, RULES).select(
         F.col("_source_file").cast("long").alias("file"), F.col("_row_id").alias("line"), "REG",
         "_expected_parent", F.col("_parent_uid_final").alias("parent"))

@@ -10,7 +10,7 @@ from fiscalgrove.operators.reshape import unpivot_registers
 from fiscalgrove.operators.tree import header_of_files, link_parents, propagate_header
 from fiscalgrove.operators.columns import project_superset
 from fiscalgrove.plans.report import compile_report
-from fiscalgrove.sources.records import parse_records
+from fiscalgrove.sources.records import tag_records, with_cols
 from fiscalgrove.sources.tables import registers_of
 from workbench.derive import CATALOGUE, RULES, record_lines, stored, table
 
@@ -28,9 +28,9 @@ CHAIN = {
 
 def report_chain(spark, sf):
     """Flagship: text lines -> parse -> tree -> header -> wide table -> item-level report."""
-    bronze = stored(parse_records(record_lines(spark, sf)), "bronze")
-    wide = project_superset(link_parents(bronze, RULES), CATALOGUE).drop("value")
-    heads = header_of_files(bronze, {"CNPJ": F.get("cols", F.lit(2)), "NOME": F.get("cols", F.lit(3))})
+    bronze = stored(tag_records(record_lines(spark, sf)), "bronze")
+    wide = project_superset(with_cols(link_parents(bronze, RULES)).drop("value"), CATALOGUE)
+    heads = header_of_files(with_cols(bronze), {"CNPJ": F.get("cols", F.lit(2)), "NOME": F.get("cols", F.lit(3))})
     silver = stored(propagate_header(wide, heads), "silver")
     out = compile_report(spark, CHAIN, registers_of(silver, ["0000", "C100", "C170"]))
     return out.select("CNPJ", "NOME", "NUM_DOC", "COD_SIT", "DATA", "NUM_ITEM", "COD_ITEM", "QTD",
