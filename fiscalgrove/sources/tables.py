@@ -2,8 +2,9 @@
 
 Tables are Parquet folders by default; ``fmt`` may name any other file format Spark knows.
 Replace and upsert rewrite only the partitions the new rows touch. The merged partitions are
-first staged below the table and then swapped in, so a table is never read and overwritten
-in one job; if a run dies between the two, the next one finishes the complete stage first.
+first staged in a folder beside the table and then swapped in, so a table is never read and
+overwritten in one job; if a run dies between the two, the next one finishes the complete
+stage first. A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from fiscalgrove.operators.columns import plain_names, reject_duplicate_columns,
 from fiscalgrove.operators.lookup import one_per_key
 
 ROWS_PER_FILE = 500_000
-_STAGE = "_merge_stage"
 
 
 # ------------------------------------------------------------------------ reads
@@ -204,6 +204,12 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _beside(path: str, kind: str) -> str:
+    """Folder next to the table (an overwrite of the table must not remove it)."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_{name}.{kind}"
+
+
 def _swap_in(spark: SparkSession, path: str, stage: str, partition_by: Sequence[str]) -> None:
     mode = "dynamic" if partition_by else "static"
     write_table(spark.read.parquet(stage), path, mode="overwrite", partition_by=partition_by,
@@ -213,7 +219,7 @@ def _swap_in(spark: SparkSession, path: str, stage: str, partition_by: Sequence[
 
 def finish_pending(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
     """Swap in a complete stage left by a run that died, drop incomplete ones."""
-    root = f"{path.rstrip('/')}/{_STAGE}"
+    root = _beside(path, "stage")
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return
@@ -231,7 +237,7 @@ def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Seq
     finish_pending(spark, path, partition_by)
     target = read_optional(spark, path, mergeSchema="true")
     if target is None:
-        write_table(new, path, mode="overwrite", partition_by=partition_by)
+        write_table(new, path, mode="overwrite", partition_by=partition_by, partitionOverwriteMode="static")
         return
     matching = new.select(*match_on).distinct()
     moving = not set(partition_by) <= set(match_on)
@@ -243,7 +249,7 @@ def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Seq
             touched = touched.unionByName(stale).distinct()
         old = target.join(touched, list(partition_by), "left_semi")
     merged = old.join(matching, list(match_on), "left_anti").unionByName(new, allowMissingColumns=True)
-    stage = f"{path.rstrip('/')}/{_STAGE}/{uuid.uuid4().hex}"
+    stage = f"{_beside(path, 'stage')}/{uuid.uuid4().hex}"
     write_table(merged, stage, mode="overwrite")
     if partition_by and moving:
         # dynamic overwrite leaves a partition alone that has no rows any more
@@ -255,7 +261,7 @@ def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Seq
 
 def _store_incoming(df: DataFrame, path: str) -> str:
     """Write the new rows once, so that merging does not compute their plan twice."""
-    folder = f"{path.rstrip('/')}/_incoming/{uuid.uuid4().hex}"
+    folder = f"{_beside(path, 'incoming')}/{uuid.uuid4().hex}"
     write_table(void_to_string(df), folder, mode="overwrite")
     return folder
 
