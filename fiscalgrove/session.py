@@ -37,6 +37,17 @@ def build_session(app_name: str = "fiscalgrove", master: str | None = None,
     return builder.getOrCreate()
 
 
+def sized_conf(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle settings for a volume of data: enough initial partitions to fit in memory.
+
+    Adaptive execution merges the ones that turn out small, so too many cost little, while too
+    few spill; 100 TB need several hundred thousand.
+    """
+    parts = max(200, -(-input_bytes // partition_bytes))
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes)}
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 

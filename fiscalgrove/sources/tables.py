@@ -137,6 +137,13 @@ def load_subsidy_references(spark: SparkSession, cfop: str, municipalities: str,
 # ----------------------------------------------------------------------- writes
 def write_table(df: DataFrame, path: str, *, mode: str = "append", partition_by: Sequence[str] = (),
                 fmt: str = "parquet", rows_per_file: int | None = None, **options: str) -> None:
+    """Write a table; a partitioned one is rebalanced on its partition columns first.
+
+    Rebalancing lets adaptive execution split the rows of a large partition over many tasks and
+    put small partitions together: neither one huge task nor a file per task and partition.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.format(fmt).mode(mode).options(**options)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
@@ -146,18 +153,12 @@ def write_table(df: DataFrame, path: str, *, mode: str = "append", partition_by:
 
 
 def write_registers(df: DataFrame, path: str, registers: Iterable[str], *, partition_by: Sequence[str] = ("REG",),
-                    spread_by: Sequence[str] = ("_file_id",), spread: int = 32, fmt: str = "parquet") -> None:
-    """The wide table by record type, columns in sorted order, files of limited size.
-
-    Rows of one record type are spread over ``spread`` tasks by a hash of their file (and
-    line), so the most frequent record type is not written by a single task.
-    """
+                    fmt: str = "parquet") -> None:
+    """The wide table by record type, columns in sorted order, files of limited size."""
     kept = df.filter(F.col("REG").isin(sorted(registers)))
     ordered = void_to_string(kept.select(*sorted(kept.columns)))
-    by = [c for c in (*spread_by, "_row_id") if c in ordered.columns]
-    slot = F.pmod(F.xxhash64(*by), F.lit(spread)) if by else F.lit(0)
-    write_table(ordered.repartition(*partition_by, slot), path, mode="overwrite", partition_by=partition_by,
-                fmt=fmt, rows_per_file=ROWS_PER_FILE, partitionOverwriteMode="dynamic")
+    write_table(ordered, path, mode="overwrite", partition_by=partition_by, fmt=fmt, rows_per_file=ROWS_PER_FILE,
+                partitionOverwriteMode="dynamic")
 
 
 def write_report(df: DataFrame, path: str, *, fmt: str = "parquet", plain: bool = False,
@@ -194,12 +195,12 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
@@ -212,9 +213,10 @@ def _beside(path: str, kind: str) -> str:
 
 def _swap_in(spark: SparkSession, path: str, stage: str, partition_by: Sequence[str]) -> None:
     mode = "dynamic" if partition_by else "static"
-    write_table(spark.read.parquet(stage), path, mode="overwrite", partition_by=partition_by,
-                partitionOverwriteMode=mode)
-    _delete(spark, stage)
+    staged = read_optional(spark, stage)
+    if staged is not None:
+        write_table(staged, path, mode="overwrite", partition_by=partition_by, partitionOverwriteMode=mode)
+    delete_path(spark, stage)
 
 
 def finish_pending(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
@@ -225,10 +227,23 @@ def finish_pending(spark: SparkSession, path: str, partition_by: Sequence[str])
         return
     for status in fs.listStatus(p):
         stage = status.getPath().toString()
-        if _exists(spark, f"{stage}/_SUCCESS"):
+        if path_exists(spark, f"{stage}/_SUCCESS"):
             _swap_in(spark, path, stage, partition_by)
         else:
-            _delete(spark, stage)
+            delete_path(spark, stage)
+
+
+def prune_to(target: DataFrame, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Filter partition columns to the values another frame has, so that folders are skipped.
+
+    The distinct values come to the driver: as many as there are partitions to touch, which
+    the file listing holds there anyway.
+    """
+    for name in columns:
+        found = [r[0] for r in rows.select(F.col(name).cast("string")).distinct().toLocalIterator()]
+        hit = F.col(name).isin([v for v in found if v is not None])
+        target = target.filter(hit | F.col(name).isNull() if None in found else hit)
+    return target
 
 
 def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Sequence[str]) -> None:
@@ -240,6 +255,7 @@ def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Seq
         write_table(new, path, mode="overwrite", partition_by=partition_by, partitionOverwriteMode="static")
         return
     matching = new.select(*match_on).distinct()
+    target = prune_to(target, new, [c for c in partition_by if c in match_on])
     moving = not set(partition_by) <= set(match_on)
     old = target
     if partition_by:
@@ -253,29 +269,38 @@ def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Seq
     write_table(merged, stage, mode="overwrite")
     if partition_by and moving:
         # dynamic overwrite leaves a partition alone that has no rows any more
-        filled = spark.read.parquet(stage).select(*partition_by).distinct()
+        filled = spark.read.schema(merged.schema).parquet(stage).select(*partition_by).distinct()
         for row in touched.join(filled, list(partition_by), "left_anti").toLocalIterator():
-            _delete(spark, "/".join([path.rstrip("/"), *[f"{c}={row[c]}" for c in partition_by]]))
+            delete_path(spark, "/".join([path.rstrip("/"), *[f"{c}={row[c]}" for c in partition_by]]))
     _swap_in(spark, path, stage, partition_by)
 
 
-def _store_incoming(df: DataFrame, path: str) -> str:
-    """Write the new rows once, so that merging does not compute their plan twice."""
+def store_incoming(df: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """Write the new rows once, so that merging does not compute their plan twice.
+
+    Returns them as read back (the schema is given: no rows may mean no files) and the folder.
+    """
     folder = f"{_beside(path, 'incoming')}/{uuid.uuid4().hex}"
-    write_table(void_to_string(df), folder, mode="overwrite")
-    return folder
+    plain = void_to_string(df)
+    write_table(plain, folder, mode="overwrite")
+    return df.sparkSession.read.schema(plain.schema).parquet(folder), folder
 
 
-def replace_by_file(df: DataFrame, path: str, *, file_col: str = "_file_id",
-                    partition_by: Sequence[str] = ("REG",)) -> None:
+def replace_by_file(df: DataFrame, path: str, *, file_keys: Sequence[str] = ("_file_id",),
+                    partition_by: Sequence[str] = ("REG",), stored: bool = False) -> None:
     """Write rows so that all earlier rows of the same files are gone.
 
-    Running it again with the same files gives the same table.
+    ``file_keys`` tell files apart; partition columns among them limit which folders are read.
+    Running it again with the same files gives the same table. ``stored`` says that ``df`` is
+    read from storage already.
     """
+    if stored:
+        _merge(df, path, list(file_keys), partition_by)
+        return
     spark = df.sparkSession
-    folder = _store_incoming(df, path)
-    _merge(spark.read.parquet(folder), path, [file_col], partition_by)
-    _delete(spark, folder)
+    rows, folder = store_incoming(df, path)
+    _merge(rows, path, list(file_keys), partition_by)
+    delete_path(spark, folder)
 
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Sequence[str] = (),
@@ -287,10 +312,9 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Seque
     ``partition_by`` columns among the keys, only partitions of incoming keys are read.
     """
     spark = df.sparkSession
-    folder = _store_incoming(one_per_key(df.dropna(subset=list(keys)), list(keys), prefer), path)
-    new = spark.read.parquet(folder)
+    new, folder = store_incoming(one_per_key(df.dropna(subset=list(keys)), list(keys), prefer), path)
     filled = not new.isEmpty()
     if filled:
         _merge(new, path, keys, partition_by)
-    _delete(spark, folder)
+    delete_path(spark, folder)
     return filled
