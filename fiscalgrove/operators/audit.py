@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fiscalgrove.operators.lookup import own_shuffle
+
 
 def frequency_profile(df: DataFrame, by: Sequence[str], out: str = "count", ordered: bool = True) -> DataFrame:
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias(out))
@@ -31,7 +33,7 @@ def distinct_sets(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def missing_files(expected: DataFrame, produced: DataFrame, on: str = "_file_id") -> DataFrame:
     """Expected files that produced no line."""
-    return expected.join(produced.select(on).distinct(), [on], "left_anti")
+    return expected.join(own_shuffle(produced.select(on).distinct(), [on]), [on], "left_anti")
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -56,6 +58,6 @@ def within_last_years(df: DataFrame, year_col: str, years: int, *, by: Sequence[
         return df.filter(F.col(year_col) >= last_year - years)
     if by:
         top = df.groupBy(*by).agg(F.max(year_col).alias("_top"))
-        return df.join(top, list(by)).filter(F.col(year_col) >= F.col("_top") - years).select(*df.columns)
+        return df.join(own_shuffle(top, by), list(by)).filter(F.col(year_col) >= F.col("_top") - years).select(*df.columns)
     top = df.agg(F.max(year_col)).scalar()
     return df.filter(F.col(year_col) >= top - years)

@@ -65,6 +65,26 @@ def spread_null(key: Column, columns: Sequence[str]) -> Column:
     return F.coalesce(key, F.concat(F.lit("\u0000no key "), F.xxhash64(*by).cast("string")))
 
 
+def own_shuffle(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, keyed by expressions that hide how they are partitioned.
+
+    Adaptive execution splits a hot key of a join only where both sides come straight from a
+    shuffle. A side that was just aggregated on the join key would be joined as it lies there,
+    and all rows of the hot key would stay in one task; veiling the key gives the (reduced)
+    side a small shuffle of its own.
+    """
+    kinds = dict(df.dtypes)
+
+    def veiled(k: str) -> Column:
+        if kinds[k] == "string":
+            return F.concat(F.col(k), F.lit(""))
+        if kinds[k] in ("int", "bigint"):
+            return F.col(k).bitwiseXOR(F.lit(0).cast(kinds[k]))
+        return F.col(k)
+
+    return df.withColumns({k: veiled(k) for k in keys})
+
+
 def text_key(c: str) -> Column:
     return F.trim(F.col(c).cast("string"))
 
@@ -125,8 +145,9 @@ def enrich(df: DataFrame, right: DataFrame | None, *, strategy: str, key: Mappin
         raise ContractError(f"unknown enrichment strategy {strategy!r}")
     clash = [c for c in source.columns if c in df.columns and c not in keys]
     source = source.drop(*clash)
-    source = source.select(*[F.col(k).cast("string").alias(f"_en_{i}") for i, k in enumerate(keys)],
-                           *[c for c in source.columns if c not in keys])
+    source = own_shuffle(source.select(*[F.col(k).cast("string").alias(f"_en_{i}") for i, k in enumerate(keys)],
+                                       *[c for c in source.columns if c not in keys]),
+                         [f"_en_{i}" for i in range(len(keys))])
     hit = F.col(left_key).cast("string") == F.col("_en_0")
     if len(keys) > 1:
         hit = hit & (F.col(within).cast("string") == F.col("_en_1"))
@@ -156,7 +177,8 @@ def lookup(df: DataFrame, source: DataFrame | None, join_keys, fields, *, join_t
     cols = [text_key(k).alias(f"_lk_{i}") for i, k in enumerate(right_keys)]
     values = [(F.col(s) if s in source.columns else typed_null()).alias(a)
               for s, a in field_pairs(fields) if a in fresh]
-    table = one_per_key(source.select(*cols, *values), [f"_lk_{i}" for i in range(len(cols))])
+    slots_all = [f"_lk_{i}" for i in range(len(cols))]
+    table = own_shuffle(one_per_key(source.select(*cols, *values), slots_all), slots_all)
     slot = {right: f"_lk_{i}" for i, right in enumerate(right_keys)}
     left_key = [spread_null(text_key(left), df.columns) for left, _ in pairs]
     slots = [slot[right] for _, right in pairs]
@@ -176,7 +198,7 @@ def code_lookup(df: DataFrame, codes: DataFrame, *, code: str, width: int = 4,
                 fields: Sequence[str] = (), source_code: str | None = None) -> DataFrame:
     """Attributes of a numeric code, compared as zero-padded text; unknown codes give NULL."""
     padded = F.lpad(F.col(source_code or code).cast("string"), width, "0")
-    table = one_per_key(codes.select(padded.alias("_code"), *fields), ["_code"])
+    table = own_shuffle(one_per_key(codes.select(padded.alias("_code"), *fields), ["_code"]), ["_code"])
     left = df.withColumn(code, F.lpad(F.col(code).cast("string"), width, "0"))
     key = spread_null(F.col(code), left.columns)
     return left.join(table, key == F.col("_code"), "left").drop("_code")
@@ -191,8 +213,8 @@ def asof_regime(df: DataFrame, regimes: DataFrame, *, root: Column, year: Column
     """
     yearly = regimes.groupBy(F.col("cnpj").cast("string").alias("_root"), F.col("ano").cast("int").alias("_ano")) \
         .agg(F.max("regime").alias("_regime")).filter(F.col("_ano").isNotNull())
-    history = yearly.groupBy("_root").agg(
-        F.sort_array(F.collect_list(F.struct("_ano", "_regime"))).alias("_history"))
+    history = own_shuffle(yearly.groupBy("_root").agg(
+        F.sort_array(F.collect_list(F.struct("_ano", "_regime"))).alias("_history")), ["_root"])
     left = df.withColumns({"_lookup_root": root, "_year": (year if year is not None else F.lit(None)).cast("int")})
     key = spread_null(F.col("_lookup_root"), df.columns)
     joined = left.join(history, key == F.col("_root"), "left")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fiscalgrove.functions.scalars import br_date, br_decimal, cfop_sign, label, pair_side, uf_pair
 from fiscalgrove.operators.columns import require_columns, typed_null
-from fiscalgrove.operators.lookup import code_lookup, one_per_key, spread_null
+from fiscalgrove.operators.lookup import code_lookup, one_per_key, own_shuffle, spread_null
 
 # --- fixed values -----------------------------------------------------------
 CST_EXEMPTION = [f"{origin}40" for origin in range(9)]
@@ -112,7 +112,7 @@ def describe_documents(c100: DataFrame, header: DataFrame | None, participants:
     if header is not None:
         own = header.filter(F.col("UF").isNotNull()).groupBy(F.col("_file_id").alias("_own_file")) \
             .agg(F.min("UF").alias("UF_ESTABELECIMENTO"))
-        docs = docs.join(own, F.col("_doc_file") == F.col("_own_file"), "left").drop("_own_file")
+        docs = docs.join(own_shuffle(own, ["_own_file"]), F.col("_doc_file") == F.col("_own_file"), "left").drop("_own_file")
     else:
         docs = docs.withColumn("UF_ESTABELECIMENTO", typed_null())
     if participants is None:
@@ -127,11 +127,11 @@ def describe_documents(c100: DataFrame, header: DataFrame | None, participants:
             states = one_per_key(municipalities.select(
                 F.col("cod_mun").cast("string").alias("_m_code"), F.col("uf").alias("UF_PARTICIPANTE"),
             ).filter(F.col("_m_code").isNotNull()), ["_m_code"])
-            known = known.join(states, F.col("COD_MUN_PARTICIPANTE") == F.col("_m_code"), "left").drop("_m_code")
+            known = known.join(own_shuffle(states, ["_m_code"]), F.col("COD_MUN_PARTICIPANTE") == F.col("_m_code"), "left").drop("_m_code")
         else:
             known = known.withColumn("UF_PARTICIPANTE", typed_null())
         hit = (F.col("_doc_file") == F.col("_p_file")) & (F.col("COD_PART_C100") == F.col("_p_code"))
-        docs = docs.join(known, hit, "left").drop("_p_file", "_p_code")
+        docs = docs.join(own_shuffle(known, ["_p_file", "_p_code"]), hit, "left").drop("_p_file", "_p_code")
     pair = uf_pair("IND_OPER_C100", "UF_ESTABELECIMENTO", "UF_PARTICIPANTE")
     return docs.withColumn("UF_ORIGEM_DESTINO", pair)
 
@@ -152,7 +152,7 @@ def with_table_rate(df: DataFrame, rates: DataFrame | None) -> DataFrame:
         F.col("Aliquota").cast("double").alias("_rate"),
     ).filter(F.col("_pair").isNotNull()).groupBy("_pair").agg(F.min("_rate").alias("ALIQUOTA_TABELA"))
     key = spread_null(F.col("UF_ORIGEM_DESTINO"), df.columns)
-    return df.join(table, key == F.col("_pair"), "left").drop("_pair")
+    return df.join(own_shuffle(table, ["_pair"]), key == F.col("_pair"), "left").drop("_pair")
 
 
 def value_operations(registers: Mapping[str, DataFrame | None], references: Mapping[str, DataFrame | None], *,

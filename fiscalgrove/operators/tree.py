@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from fiscalgrove.catalog import parent_rules
 from fiscalgrove.functions.scalars import code_map
+from fiscalgrove.operators.lookup import own_shuffle
 from fiscalgrove.sources.records import CHUNK_BITS
 
 
@@ -136,4 +137,4 @@ def propagate_header(df: DataFrame, headers: DataFrame, *, file_col: str = "_fil
                      how: str = "left") -> DataFrame:
     """Stamp a file's header values on each of its lines; header values win on a clash."""
     clash = [c for c in headers.columns if c in df.columns and c != file_col]
-    return df.drop(*clash).join(headers, [file_col], how)
+    return df.drop(*clash).join(own_shuffle(headers, [file_col]), [file_col], how)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fiscalgrove.functions.files import is_amended_name, name_timestamp, version_key
 from fiscalgrove.functions.scalars import as_col
 from fiscalgrove.operators.columns import with_cnpj_base
+from fiscalgrove.operators.lookup import own_shuffle
 
 
 def latest_version(df: DataFrame | None, keys: Sequence[str] | None = None,
@@ -51,7 +52,7 @@ def resolve_amended_names(files: DataFrame, path: str = "file_path") -> DataFram
     named = tagged.filter(F.col("_vkey").isNotNull())
     other = tagged.filter(F.col("_vkey").isNull())
     superseded = named.filter("_amended").select("_vkey").distinct().withColumn("_has", F.lit(True))
-    kept = named.join(superseded, ["_vkey"], "left").filter(
+    kept = named.join(own_shuffle(superseded, ["_vkey"]), ["_vkey"], "left").filter(
         F.col("_amended") | F.col("_has").isNull())
     return kept.select(*files.columns).unionByName(other.select(*files.columns))
 
@@ -74,7 +75,7 @@ def resolve_amended_headers(files: DataFrame, *, keys: Sequence[str] = ("cnpj",
 
 def not_superseded(history: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
     """History rows whose key the current rows do not replace."""
-    return history.join(current.select(*keys).distinct(), list(keys), "left_anti")
+    return history.join(own_shuffle(current.select(*keys).distinct(), keys), list(keys), "left_anti")
 
 
 def merge_history(current: DataFrame, history: DataFrame | None, *, keys: Sequence[str] = ("CNPJ", "DT_INI"),
@@ -90,7 +91,7 @@ def merge_history(current: DataFrame, history: DataFrame | None, *, keys: Sequen
     year = F.substring("DT_INI", 5, 4).try_cast("int")
     old = with_cnpj_base(history).dropna(subset=list(keys)).withColumn("_year", year)
     last = old.groupBy(company).agg(F.max("_year").alias("_last"))
-    recent = old.join(last, [company]).filter(F.col("_year") >= F.col("_last") - years_back)
+    recent = old.join(own_shuffle(last, [company]), [company]).filter(F.col("_year") >= F.col("_last") - years_back)
     kept = not_superseded(recent.select(*with_cnpj_base(history).columns), current, keys)
     return with_cnpj_base(current).unionByName(kept, allowMissingColumns=True)
 
@@ -102,6 +103,6 @@ def history_of_current_companies(current: DataFrame, history: DataFrame | None,
     if history is None:
         return current
     year = F.substring("DT_INI", 5, 4).try_cast("int")
-    mine = history.join(current.select("CNPJ").distinct(), ["CNPJ"], "left_semi")
+    mine = history.join(own_shuffle(current.select("CNPJ").distinct(), ["CNPJ"]), ["CNPJ"], "left_semi")
     recent = mine.filter(year >= this_year - years_back)
     return current.unionByName(not_superseded(recent, current, keys), allowMissingColumns=True)

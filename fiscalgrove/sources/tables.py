@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalgrove.operators.columns import plain_names, reject_duplicate_columns, void_to_string
-from fiscalgrove.operators.lookup import one_per_key
+from fiscalgrove.operators.lookup import one_per_key, own_shuffle
 
 ROWS_PER_FILE = 500_000
 
@@ -254,7 +254,7 @@ def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Seq
     if target is None:
         write_table(new, path, mode="overwrite", partition_by=partition_by, partitionOverwriteMode="static")
         return
-    matching = new.select(*match_on).distinct()
+    matching = own_shuffle(new.select(*match_on).distinct(), match_on)
     target = prune_to(target, new, [c for c in partition_by if c in match_on])
     moving = not set(partition_by) <= set(match_on)
     old = target
@@ -263,7 +263,7 @@ def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Seq
         if moving:  # matching old rows may sit in partitions the new rows do not fill
             stale = target.join(matching, list(match_on), "left_semi").select(*partition_by)
             touched = touched.unionByName(stale).distinct()
-        old = target.join(touched, list(partition_by), "left_semi")
+        old = target.join(own_shuffle(touched, partition_by), list(partition_by), "left_semi")
     merged = old.join(matching, list(match_on), "left_anti").unionByName(new, allowMissingColumns=True)
     stage = f"{_beside(path, 'stage')}/{uuid.uuid4().hex}"
     write_table(merged, stage, mode="overwrite")

@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose few files would leave cores idle is spread by a key; a table of many files
+    (any real volume) is read as it is."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared scratch folder and read back: cuts the plan, survives executors."""
     path = scratch_dir(df.sparkSession, name)
@@ -32,6 +40,11 @@ def br_text(c: Column) -> Column:
     return F.translate(F.format_number(c, 2), ",.", ".,")
 
 
+def br_amount(c: Column) -> Column:
+    """1234.5 -> ``1234,50`` (no thousands separators)"""
+    return F.translate(c.cast("decimal(18,2)").cast("string"), ".", ",")
+
+
 def pipe(*cols: Column) -> Column:
     return F.concat_ws("|", F.lit(""), *[F.coalesce(c.cast("string"), F.lit("")) for c in cols], F.lit(""))
 
@@ -46,21 +59,21 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``_row_id`` follows the order of a return: header, then each document with its items.
     """
     customers = table(spark, sf_dir, "customer")
-    orders = table(spark, sf_dir, "orders")
-    items = table(spark, sf_dir, "lineitem").join(
+    orders = spread_table(spark, sf_dir, "orders", "o_orderkey")
+    items = spread_table(spark, sf_dir, "lineitem", "l_orderkey").join(
         orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("_cust")), "l_orderkey")
     head = customers.select(
         F.col("c_custkey").alias("_source_file"), F.lit(0).cast("long").alias("_row_id"),
         pipe(F.lit("0000"), cnpj("c_custkey"), F.col("c_name"), F.col("c_nationkey")).alias("value"))
     docs = orders.select(
         F.col("o_custkey").alias("_source_file"), ((F.col("o_orderkey") + 1) * 16).alias("_row_id"),
-        pipe(F.lit("C100"), F.col("o_orderkey"), F.col("o_orderstatus"), br_text(F.col("o_totalprice")),
+        pipe(F.lit("C100"), F.col("o_orderkey"), F.col("o_orderstatus"), br_amount(F.col("o_totalprice")),
              F.date_format("o_orderdate", "ddMMyyyy")).alias("value"))
     lines = items.select(
         F.col("_cust").alias("_source_file"),
         ((F.col("l_orderkey") + 1) * 16 + F.col("l_linenumber")).alias("_row_id"),
         pipe(F.lit("C170"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_quantity").cast("int"),
-             br_text(F.col("l_extendedprice")), F.col("l_returnflag"), F.col("l_linestatus")).alias("value"))
+             br_amount(F.col("l_extendedprice")), F.col("l_returnflag"), F.col("l_linestatus")).alias("value"))
     every = head.unionByName(docs).unionByName(lines)
     return every.withColumns({"_source_file": F.col("_source_file").cast("string"),
                               "_file_id": F.col("_source_file").cast("string")})
@@ -81,7 +94,7 @@ def _coded(mapping: dict[str, str]) -> Column:
 def yearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with company number, period start and a signed amount."""
     signed = F.when(F.col("o_orderstatus") == "P", -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders", "o_orderkey").select(
         cnpj("o_custkey").alias("CNPJ"),
         F.concat(F.lit("0101"), F.year("o_orderdate").cast("string")).alias("DT_INI"),
         "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", signed.alias("_signed"),

@@ -12,12 +12,12 @@ from fiscalgrove.operators.tree import header_of_files, link_parents, misplaced_
 from fiscalgrove.operators.version import latest_version, resolve_amended_headers, resolve_amended_names
 from fiscalgrove.session import scratch_dir
 from fiscalgrove.sources.records import discover_periods, number_lines, parse_records, read_lines, tag_records
-from workbench.derive import CATALOGUE, RULES, br_text, pipe, record_lines, stored, table
+from workbench.derive import CATALOGUE, RULES, br_text, pipe, record_lines, spread_table, stored, table
 
 
 def parse_lines(spark, sf):
     """Text lines of all items, parsed and projected to named columns."""
-    li = table(spark, sf, "lineitem")
+    li = spread_table(spark, sf, "lineitem", "l_orderkey")
     text = li.select(
         pipe(F.lit(" c-170 "), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"),
              br_text(F.col("l_extendedprice")), F.lit("C100")).alias("value"))
@@ -33,7 +33,7 @@ PARSE_SQL = """SELECT 'C170' AS "REG", l_orderkey AS "DOC", l_linenumber AS "NUM
 def text_files(spark, sf):
     """The order lines written as text files and read back as one distributed read."""
     path = scratch_dir(spark, "lines")
-    orders = table(spark, sf, "orders")
+    orders = spread_table(spark, sf, "orders", "o_orderkey")
     orders.select(pipe(F.lit("C100"), F.col("o_orderkey"), F.col("o_orderstatus"), br_text(F.col("o_totalprice")),
                        F.date_format("o_orderdate", "ddMMyyyy")).alias("value")).write.text(path)
     wide = project_record(parse_records(read_lines(spark, path), ["C100"]), CATALOGUE["C100"])
@@ -138,7 +138,7 @@ UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'C170', NULL, NULL, NULL, NULL, NUL
 
 def br_decimals(spark, sf):
     """Amounts formatted as Brazilian text and parsed back."""
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
+    return spread_table(spark, sf, "lineitem", "l_orderkey").select("l_orderkey", "l_linenumber",
                                                fx.br_decimal(br_text(F.col("l_extendedprice"))).alias("price"),
                                                fx.br_decimal(F.col("l_returnflag")).alias("not_a_number"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fiscalgrove.operators.audit import distinct_sets, fan_out_audit, frequency_profile, missing_files
 from fiscalgrove.operators.subsidy import (
     eligibility_funnel, eligible_periods, periods_until, unexpected_cfops, value_operations, with_cfop_sign)
-from workbench.derive import br_text, table
+from workbench.derive import br_text, spread_table, table
 
 
 def _by(column: str, mapping: dict[str, str], default=None):
@@ -18,7 +18,7 @@ def _by(column: str, mapping: dict[str, str], default=None):
 
 
 def registers(spark, sf):
-    orders, items = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    orders, items = table(spark, sf, "orders"), spread_table(spark, sf, "lineitem", "l_orderkey")
     nation, cust, supp = (table(spark, sf, t) for t in ("nation", "customer", "supplier"))
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     totals = items.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"), "l_orderkey").groupBy(
