@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from fiscalgrove.operators import metrics as m
 from fiscalgrove.operators.audit import within_last_years
-from fiscalgrove.operators.columns import anchored_nulls, typed_null
-from fiscalgrove.operators.score import go_no_go, opportunity_rows, scorecard, viability
+from fiscalgrove.operators.columns import anchored_nulls
+from fiscalgrove.operators.score import viability
 from fiscalgrove.operators.version import merge_history
 from fiscalgrove.plans.diagnostic import diagnose, tributary_summary
-from workbench.derive import annual_sources, stored, table, yearly_orders
+from workbench.derive import annual_sources, table, yearly_orders
 
 K = ["CNPJ", "DT_INI"]
 
