@@ -60,6 +60,14 @@ def test_diagnosis_end_to_end_is_repeatable(spark, tmp_path):
     assert report.filter("`Período`='2021'").first()["CNPJ"] == "11.111.111/1111-11"
 
 
+def test_credits_added_in_place_equal_the_summed_rows(spark):
+    df = spark.createDataFrame([("a", "01012023", True, -100.0, False, 9.0, 50.0), ("b", "01012023", True, 1e7, True, 3.0, 90.0), ("c", "01012023", False, 1.0, None, None, 10.0)],
+                               "CNPJ string, DT_INI string, opp_l300_pat_encontrado boolean, opp_l300_pat_valor double, opp_m310_art30_encontrado boolean, opp_m310_art30_valor double, final_score double")
+    cols = ("CNPJ", "estimated_recovery", F.round("commercial_viability_index", 6))
+    assert rows(s.viability(df), *cols) == rows(s.viability(df, s.opportunity_rows(df)), *cols) == [
+        ("a", 15.0, 30.0024), ("b", 1_500_003.0, 70.0), ("c", 0.0, 6.0)]
+
+
 def test_every_source_may_be_absent(spark):
     final, found = diagnose({"0010": company(spark)})
     assert final.count() == 4 and found.count() == 0

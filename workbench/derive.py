@@ -9,7 +9,7 @@ from fiscalgrove.catalog import catalogue_from_mapping
 from fiscalgrove.session import scratch_dir
 
 CATALOGUE = catalogue_from_mapping({
-    "0000": "CNPJ NOME UF",
+    "0000": "CNPJ NOME UF DT_INI",
     "C100": "NUM_DOC COD_SIT VL_DOC DT_DOC",
     "C170": "NUM_ITEM COD_ITEM QTD VL_ITEM CST CFOP",
 })
@@ -64,7 +64,7 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("_cust")), "l_orderkey")
     head = customers.select(
         F.col("c_custkey").alias("_source_file"), F.lit(0).cast("long").alias("_row_id"),
-        pipe(F.lit("0000"), cnpj("c_custkey"), F.col("c_name"), F.col("c_nationkey")).alias("value"))
+        pipe(F.lit("0000"), cnpj("c_custkey"), F.col("c_name"), F.col("c_nationkey"), F.lit("01032023")).alias("value"))
     docs = orders.select(
         F.col("o_custkey").alias("_source_file"), ((F.col("o_orderkey") + 1) * 16).alias("_row_id"),
         pipe(F.lit("C100"), F.col("o_orderkey"), F.col("o_orderstatus"), br_amount(F.col("o_totalprice")),

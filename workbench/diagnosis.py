@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from fiscalgrove.operators import metrics as m
 from fiscalgrove.operators.audit import within_last_years
 from fiscalgrove.operators.columns import anchored_nulls
-from fiscalgrove.operators.score import viability
+from fiscalgrove.operators.score import opportunity_rows, viability
 from fiscalgrove.operators.version import merge_history
 from fiscalgrove.plans.diagnostic import diagnose, tributary_summary
-from workbench.derive import annual_sources, table, yearly_orders
+from workbench.derive import annual_sources, stored, table, yearly_orders
 
 K = ["CNPJ", "DT_INI"]
 
@@ -218,8 +218,8 @@ OPP_SQL = f"WITH {_ALL}, {_OPPS} SELECT * REPLACE (round(estimated_credit,4) AS
 
 def viability_query(spark, sf):
     """Estimated recovery (opportunity rows summed per key) and the viability index."""
-    scored, found = _scored(spark, sf)
-    return money(viability(scored.select(*K, "final_score"), found).select(*K, "estimated_recovery", "commercial_viability_index"), "estimated_recovery", "commercial_viability_index", digits=8)
+    scored = stored(_scored(spark, sf)[0], "scored")
+    return money(viability(scored.select(*K, "final_score"), opportunity_rows(scored)).select(*K, "estimated_recovery", "commercial_viability_index"), "estimated_recovery", "commercial_viability_index", digits=8)
 
 
 _VIA = """rec AS (SELECT "CNPJ","DT_INI",sum(estimated_credit) AS er FROM opps GROUP BY ALL),

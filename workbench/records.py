@@ -238,7 +238,7 @@ SELECT event_id, "CNPJ", "DT_INI", "IND_REC", "FILE_ID" FROM (SELECT *, dense_ra
 
 def amended_names(spark, sf):
     """Amended files replace the originals of the same name key; other names stay."""
-    o = table(spark, sf, "orders")
+    o = spread_table(spark, sf, "orders", "o_orderkey")
     kind = F.when(F.col("o_orderstatus") == "F", "Retificadora").when(F.col("o_orderstatus") == "O", "Original").otherwise("x")
     day = F.date_format(F.trunc("o_orderdate", "year"), "ddMMyyyy")
     name = F.concat(F.lit("a/EFD_"), day, F.lit("_"), day, F.lit("_"), F.lpad(F.col("o_custkey").cast("string"), 14, "0"), F.lit("_"),
