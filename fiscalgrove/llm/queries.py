@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalgrove.llm import chat, decontaminate, mixing, tokencount
+from fiscalgrove.llm import chat, decontaminate, mixing, pii, quality, simhash, tokencount
 from fiscalgrove.llm.shared import table
 
 
@@ -17,11 +17,19 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, totals = mixing.mix(table(spark, sf_dir, "documents"))
     return totals.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,7 +38,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {q.__name__: q for q in (op1_chat_format, op4_mix, op7_decontaminate, op9_token_counts)}
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {q.__name__: q for q in (
+    op1_chat_format, op3_simhash, op4_mix, op5_quality, op7_decontaminate, op9_token_counts, op10_personal_data)}
 
 SQL: dict[str, str] = {
     "op1_chat_format": r"""
