@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalgrove.llm import chat, decontaminate, mixing, pii, quality, simhash, tokencount
+from fiscalgrove.llm import chat, decontaminate, lm, mixing, pii, quality, simhash, tokencount
 from fiscalgrove.llm.shared import table
 
 
@@ -34,6 +34,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -43,7 +47,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_chat_format, op3_simhash, op4_mix, op5_quality, op7_decontaminate, op9_token_counts, op10_personal_data)}
+    op1_chat_format, op3_simhash, op4_mix, op5_quality, op7_decontaminate, op8_lm_scores, op9_token_counts, op10_personal_data)}
 
 SQL: dict[str, str] = {
     "op1_chat_format": r"""
