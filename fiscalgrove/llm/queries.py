@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalgrove.llm import chat, decontaminate, lm, mixing, pii, quality, simhash, tokencount
+from fiscalgrove.llm import chat, decontaminate, lm, mixing, pii, quality, simhash, substrings, tokencount
 from fiscalgrove.llm.shared import table
 
 
@@ -30,6 +30,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate(F.zip_with("ends", "starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return rows.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,7 +53,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_chat_format, op3_simhash, op4_mix, op5_quality, op7_decontaminate, op8_lm_scores, op9_token_counts, op10_personal_data)}
+    op1_chat_format, op3_simhash, op4_mix, op5_quality, op6_substrings, op7_decontaminate, op8_lm_scores, op9_token_counts, op10_personal_data)}
 
 SQL: dict[str, str] = {
     "op1_chat_format": r"""
