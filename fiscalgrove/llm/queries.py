@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalgrove.llm import chat, decontaminate, lm, mixing, pii, quality, simhash, substrings, tokencount
+from fiscalgrove.llm import chat, decontaminate, licenses, lm, mixing, pii, quality, simhash, substrings, tokencount
 from fiscalgrove.llm.shared import table
 
 
@@ -17,6 +17,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_chat_format, op3_simhash, op4_mix, op5_quality, op6_substrings, op7_decontaminate, op8_lm_scores, op9_token_counts, op10_personal_data)}
+    op1_chat_format, op2_license_scan, op3_simhash, op4_mix, op5_quality, op6_substrings, op7_decontaminate, op8_lm_scores, op9_token_counts, op10_personal_data)}
 
 SQL: dict[str, str] = {
     "op1_chat_format": r"""
