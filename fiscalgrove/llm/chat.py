@@ -81,6 +81,16 @@ def masked_spans(tokens: np.ndarray, turns: np.ndarray) -> tuple[np.ndarray, np.
     return mask, starts[keep], ends[keep]
 
 
+def slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` characters each: an encoding takes a hundred times its text's memory."""
+    sizes = np.array([sum(len(t.as_py()) for t in texts) for texts in batch.column("text")], dtype=np.int64)
+    group = np.cumsum(sizes) // most
+    at = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(at, at[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 _DDL = "conv_id string, n_turns long, formatted string, token_ids array<int>, loss_mask array<boolean>, loss_starts array<long>, loss_ends array<long>"
 
 
@@ -106,17 +116,18 @@ def format_chats(conversations: DataFrame, tokenizer: str, learn: str = "assista
         encoder = Tokenizer.from_str(spec.value)
         encoder.encode_special_tokens = True  # the template's own escapes decide what is control
         for batch in batches:
-            rendered = [render(list(zip(r.as_py(), t.as_py())), learn) for r, t in zip(batch.column("role"), batch.column("text"))]
-            rows = []
-            for (text, spans), code in zip(rendered, encoder.encode_batch([text for text, _ in rendered], add_special_tokens=False)):
-                tokens = np.array(code.offsets, dtype=np.int64).reshape(-1, 2)
-                mask, starts, ends = masked_spans(tokens, np.array(spans, dtype=np.int64).reshape(-1, 2))
-                rows.append((text, code.ids, mask, starts, ends))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("conv_id").cast(pa.string()), pa.array([len(r) for r in batch.column("role")], pa.int64()),
-                 *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
-                     (pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()))))],
-                names=["conv_id", "n_turns", "formatted", "token_ids", "loss_mask", "loss_starts", "loss_ends"])
+            for part in slices(batch):
+                rendered = [render(list(zip(r.as_py(), t.as_py())), learn) for r, t in zip(part.column("role"), part.column("text"))]
+                rows = []
+                for (text, spans), code in zip(rendered, encoder.encode_batch([text for text, _ in rendered], add_special_tokens=False)):
+                    tokens = np.array(code.offsets, dtype=np.int64).reshape(-1, 2)
+                    mask, starts, ends = masked_spans(tokens, np.array(spans, dtype=np.int64).reshape(-1, 2))
+                    rows.append((text, code.ids, mask, starts, ends))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("conv_id").cast(pa.string()), pa.array([len(r) for r in part.column("role")], pa.int64()),
+                     *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
+                         (pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()))))],
+                    names=["conv_id", "n_turns", "formatted", "token_ids", "loss_mask", "loss_starts", "loss_ends"])
 
     out = whole.mapInArrow(encode, _DDL)
     return out.withColumn("conv_id", F.col("conv_id").cast(conversations.schema[id_col].dataType)).withColumnRenamed("conv_id", id_col)
