@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from fiscalgrove.llm.shared import stored
 
 #: entries (distinct keys of blocks) that one part of the key space should hold
-PART_ENTRIES = 1_500_000
+PART_ENTRIES = 500_000
 #: bytes of text of a block; a longer text is a block of its own
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def packed(values: np.ndarray, sort_of: str = "plain") -> bytes:
@@ -43,10 +43,12 @@ def unpacked(data: bytes, dtype: str, sort_of: str = "plain") -> np.ndarray:
     return np.cumsum(values, dtype=dtype) if sort_of == "sorted" else values
 
 
-def bounds_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where each part of the key space begins and ends in sorted 64-bit keys."""
-    edges = np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+def runs_by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
+    """Part, begin and end of each run of sorted 64-bit keys that falls into one part of the key space."""
+    if len(keys):
+        part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        at = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(keys)]
+        yield from zip(part[at[:-1]].tolist(), at[:-1], at[1:])
 
 
 #: n: in what a part sends back, how many of its keys with a first value above zero are new with this block
@@ -55,9 +57,7 @@ BUNDLE = "part int, block long, n long, keys binary, values array<binary>"
 
 def bundles(block: int, keys: np.ndarray, values: list[np.ndarray], parts: int) -> list[tuple]:
     """keys: sorted distinct uint64. One bundle for each part that has any of them."""
-    at = bounds_of(keys, parts)
-    return [(p, block, b - a, packed(keys[a:b], "sorted"), [packed(v[a:b]) for v in values])
-            for p, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if b > a]
+    return [(p, block, b - a, packed(keys[a:b], "sorted"), [packed(v[a:b]) for v in values]) for p, a, b in runs_by_part(keys, parts)]
 
 
 def bundle_batch(rows: list[tuple]) -> pa.RecordBatch:
