@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import csv
 import json
+import os
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -139,37 +140,8 @@ def parent_rules(rules: Iterable[Mapping]) -> tuple[dict[str, str], set[str]]:
 
 
 # --- fixed values: official layouts of the records this engine reads itself ---
-EFD_FISCAL = catalogue_from_mapping({
-    "0000": "COD_VER COD_FIN DT_INI DT_FIN NOME CNPJ CPF UF IE COD_MUN IM SUFRAMA "
-            "IND_PERFIL IND_ATIV",
-    "0150": "COD_PARTICIPANTE NOME_PARTICIPANTE COD_PAIS CNPJ_PARTICIPANTE CPF_PARTICIPANTE "
-            "IE_PARTICIPANTE COD_MUN_PARTICIPANTE SUFRAMA_PARTICIPANTE END_PARTICIPANTE "
-            "NUM_PARTICIPANTE COMPL_PARTICIPANTE BAIRRO_PARTICIPANTE",
-    "C100": "IND_OPER IND_EMIT COD_PART COD_MOD COD_SIT SER NUM_DOC CHV_NFE DT_DOC DT_E_S "
-            "VL_DOC IND_PGTO VL_DESC VL_ABAT_NT VL_MERC IND_FRT VL_FRT VL_SEG VL_OUT_DA "
-            "VL_BC_ICMS VL_ICMS VL_BC_ICMS_ST VL_ICMS_ST VL_IPI VL_PIS VL_COFINS VL_PIS_ST "
-            "VL_COFINS_ST",
-    "C190": "CST_ICMS CFOP ALIQ_ICMS VL_OPR VL_BC_ICMS VL_ICMS_TOTAL VL_BC_ICMS_ST VL_ICMS_ST "
-            "VL_RED_BC VL_IPI COD_OBS",
-})
-_PERIOD_BLOCK = "DT_INI DT_FIN PER_APUR"
-ECF = catalogue_from_mapping({
-    "0000": "NOME_ESC COD_VER CNPJ NOME IND_SIT_INI_PER SIT_ESPECIAL PAT_REMAN_CIS DT_SIT_ESP "
-            "DT_INI DT_FIN RETIFICADORA NUM_REC TIP_ECF COD_SCP",
-    "0010": "HASH_ECF_ANTERIOR OPT_REFIS FORMA_TRIB FORMA_APUR COD_QUALIF_PJ FORMA_TRIB_PER "
-            "MES_BAL_RED TIP_ESC_PRE TIP_ENT FORMA_APUR_I APUR_CSLL IND_REC_RECEITA",
-    "L030": _PERIOD_BLOCK,
-    "L100": "CODIGO DESCRICAO TIPO NIVEL COD_NAT COD_CTA_SUP VAL_CTA_REF_INI "
-            "IND_VAL_CTA_REF_INI VAL_CTA_REF_DEB VAL_CTA_REF_CRED VAL_CTA_REF_FIN "
-            "IND_VAL_CTA_REF_FIN",
-    "L300": "CODIGO DESCRICAO TIPO NIVEL COD_NAT COD_CTA_SUP VALOR IND_VALOR",
-    "M030": _PERIOD_BLOCK,
-    "M300": "CODIGO DESCRICAO TIPO_LANCAMENTO IND_RELACAO VALOR HIST_LAN_LAL",
-    "M310": "COD_CTA COD_CCUS VL_CTA IND_VL_CTA",
-    "N030": _PERIOD_BLOCK,
-    "N500": "CODIGO DESCRICAO VALOR",
-    "Y570": "CNPJ_FON NOM_EMP IND_ORG_PUB COD_REC VL_REND IR_RET CSLL_RET",
-})
+_BUILT_IN = load_catalogues(os.path.join(os.path.dirname(__file__), "layouts.json"))
+EFD_FISCAL, ECF = _BUILT_IN["EFD_FISCAL"], _BUILT_IN["ECF"]
 ECF_PARENTS = [
     {"parent": "0000", "children": ["L030", "M030", "N030", "Y570"]},
     {"parent": "0000", "children": ["0010"]},

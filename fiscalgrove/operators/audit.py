@@ -1,4 +1,4 @@
-"""Counts, profiles and gates."""
+"""Counts, profiles and file checks."""
 
 from __future__ import annotations
 
@@ -40,14 +40,6 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
-def sample_matches(df: DataFrame, expected: DataFrame, on: str = "_file_id", rows: int = 50) -> bool:
-    """Cheap gate: does any of a few rows belong to an expected file? True for no rows."""
-    few = df.select(on).limit(rows)
-    verdict = few.join(expected.select(on).distinct().withColumn("_known", F.lit(1)), [on], "left").agg(
-        F.count(F.lit(1)).alias("n"), F.count("_known").alias("hits")).first()
-    return verdict["n"] == 0 or verdict["hits"] > 0
-
-
 def within_last_years(df: DataFrame, year_col: str, years: int, *, by: Sequence[str] = (),
                       last_year: int | None = None) -> DataFrame:
     """Rows of the last years: counted from a fixed year, or from the data's own maximum.

@@ -105,6 +105,11 @@ def field_pairs(fields: Iterable[str | Mapping[str, str]]) -> list[tuple[str, st
     return [(str(s), str(a)) for s, a in pairs]
 
 
+def file_column(df: DataFrame) -> str | None:
+    """The column that tells files apart: the key from the full path if there is one."""
+    return next((c for c in ("_file_key", "_file_id", "FILE_ID", "_source_file") if c in df.columns), None)
+
+
 def select_fields(df: DataFrame, fields, *, keep: Sequence[str | Column] = (), absent_null: bool = True) -> DataFrame:
     """Select and rename; absent sources become typed NULLs (or are left out)."""
     out: list[Column | str] = list(keep)

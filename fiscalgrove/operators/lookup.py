@@ -80,7 +80,7 @@ def own_shuffle(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             return F.concat(F.col(k), F.lit(""))
         if kinds[k] in ("int", "bigint"):
             return F.col(k).bitwiseXOR(F.lit(0).cast(kinds[k]))
-        return F.col(k)
+        return F.try_element_at(F.array(k), F.lit(1))   # any other type: the optimizer does not look through it
 
     return df.withColumns({k: veiled(k) for k in keys})
 
@@ -162,9 +162,9 @@ def lookup(df: DataFrame, source: DataFrame | None, join_keys, fields, *, join_t
            mode: str = "simple") -> DataFrame:
     """Add a lookup's fields by trimmed text keys.
 
-    ``simple``: all keys must agree. ``coalesce``: rows the first key leaves without a first
-    field try the second key. The source is first reduced to one row per full key; an absent
-    source gives NULL columns. Columns the left side has already are kept.
+    ``simple``: all keys must agree. ``coalesce``: rows that a key leaves without a first
+    field try the next one. The source is first reduced to one row per key that is compared (in
+    mode ``coalesce`` per single key), so no row is added; an absent source gives NULL columns. Columns the left side has already are kept.
     """
     outputs = [a for _, a in field_pairs(fields)]
     fresh = [a for a in outputs if a not in df.columns]
@@ -177,23 +177,30 @@ def lookup(df: DataFrame, source: DataFrame | None, join_keys, fields, *, join_t
     cols = [text_key(k).alias(f"_lk_{i}") for i, k in enumerate(right_keys)]
     values = [(F.col(s) if s in source.columns else typed_null()).alias(a)
               for s, a in field_pairs(fields) if a in fresh]
+    if mode == "coalesce" and len(pairs) > 1:
+        return _first_match(df, source.select(*cols, *values), [(left, f"_lk_{right_keys.index(right)}") for left, right in pairs], fresh, join_type)
     slots_all = [f"_lk_{i}" for i in range(len(cols))]
     table = own_shuffle(one_per_key(source.select(*cols, *values), slots_all), slots_all)
     slot = {right: f"_lk_{i}" for i, right in enumerate(right_keys)}
     left_key = [spread_null(text_key(left), df.columns) for left, _ in pairs]
     slots = [slot[right] for _, right in pairs]
 
-    if mode == "coalesce" and len(pairs) > 1:
-        first = table.select(slots[0], *fresh)
-        out = df.join(first, left_key[0] == F.col(slots[0]), join_type).drop(slots[0])
-        second = table.select(slots[1], *[F.col(a).alias(f"_fb_{a}") for a in fresh])
-        retry = spread_null(F.when(F.col(fresh[0]).isNull(), text_key(pairs[1][0])), df.columns)
-        out = out.join(second, retry == F.col(slots[1]), "left")
-        return out.select(*df.columns, *[F.coalesce(F.col(a), F.col(f"_fb_{a}")).alias(a) for a in fresh])
     hit = reduce(lambda a, b: a & b, [k == F.col(s) for k, s in zip(left_key, slots)])
     return df.join(table, hit, join_type).drop(*slot.values())
 
 
+def _first_match(df: DataFrame, source: DataFrame, pairs: Sequence[tuple[str, str]], fields: Sequence[str], join_type: str) -> DataFrame:
+    """Each key in turn, for rows that have no first field yet; one source row per single key."""
+    out = df
+    for i, (left, slot) in enumerate(pairs):
+        rows = one_per_key(source.filter(F.col(slot).isNotNull()).select(slot, *[F.col(a).alias(f"_fb_{a}") for a in fields]), [slot])
+        key = text_key(left) if i == 0 else F.when(F.col(fields[0]).isNull(), text_key(left))
+        out = out.join(own_shuffle(rows, [slot]), spread_null(key, df.columns) == F.col(slot), join_type if i == 0 else "left")
+        found = [F.col(f"_fb_{a}") if i == 0 else F.coalesce(F.col(a), F.col(f"_fb_{a}")) for a in fields]
+        out = out.select(*df.columns, *[c.alias(a) for c, a in zip(found, fields)])
+    return out
+
+
 def code_lookup(df: DataFrame, codes: DataFrame, *, code: str, width: int = 4,
                 fields: Sequence[str] = (), source_code: str | None = None) -> DataFrame:
     """Attributes of a numeric code, compared as zero-padded text; unknown codes give NULL."""

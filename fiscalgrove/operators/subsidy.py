@@ -13,18 +13,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalgrove.functions.scalars import br_date, br_decimal, cfop_sign, label, pair_side, uf_pair
-from fiscalgrove.operators.columns import require_columns, typed_null
+from fiscalgrove.operators.columns import file_column, require_columns, typed_null
 from fiscalgrove.operators.lookup import code_lookup, one_per_key, own_shuffle, spread_null
 
 # --- fixed values -----------------------------------------------------------
-CST_EXEMPTION = [f"{origin}40" for origin in range(9)]
-CST_REDUCTION = [f"{origin}20" for origin in range(9)] + [f"{origin}70" for origin in range(9) if origin != 1]
-CST_CONDITIONAL = [f"{origin}51" for origin in range(9)]
+CST_EXEMPTION = [
+    "040", "140", "240", "340", "440", "540", "640", "740", "840",
+]
+CST_REDUCTION = [
+    "020", "120", "220", "320", "420", "520", "620", "720", "820", "070", "270", "370", "470", "570", "670",
+    "770", "870",
+]
+CST_CONDITIONAL = [
+    "051", "151", "251", "351", "451", "551", "651", "751", "851",
+]
 CFOP_ELIGIBLE = [
-    *range(1201, 1205), *range(2201, 2205), 3201, 3202, 3211,
-    *range(5101, 5124), *range(6101, 6124), 7101, 7102, 7105, 7106, 7127,
+    1201, 1202, 1203, 1204, 2201, 2202, 2203, 2204, 3201, 3202, 3211, 5101, 5102, 5103, 5104, 5105, 5106,
+    5107, 5108, 5109, 5110, 5111, 5112, 5113, 5114, 5115, 5116, 5117, 5118, 5119, 5120, 5121, 5122, 5123,
+    6101, 6102, 6103, 6104, 6105, 6106, 6107, 6108, 6109, 6110, 6111, 6112, 6113, 6114, 6115, 6116, 6117,
+    6118, 6119, 6120, 6121, 6122, 6123, 7101, 7102, 7105, 7106, 7127,
 ]
-LAST_YEAR = 2023
 CONSUMER_MODEL = 65
 SALE, SALE_RETURN = "Venda", "Devolução de venda"
 OPERATION_KIND = {"0": "0 - Entrada", "1": "1 - Saida"}
@@ -38,12 +46,15 @@ FREIGHT = {
     "4": "4 - Transporte próprio por conta do destinatário",
     "9": "9 - Sem ocorrência de transporte",
 }
-DOCUMENT_FIELDS = (
-    "COD_MOD COD_SIT SER NUM_DOC CHV_NFE DT_DOC DT_E_S VL_DOC IND_PGTO VL_DESC VL_ABAT_NT VL_MERC "
-    "IND_FRT VL_FRT VL_SEG VL_OUT_DA VL_BC_ICMS VL_ICMS VL_BC_ICMS_ST VL_ICMS_ST VL_IPI VL_PIS "
-    "VL_COFINS VL_PIS_ST VL_COFINS_ST IND_OPER IND_EMIT COD_PART").split()
-PARTICIPANT_FIELDS = ("NOME_PARTICIPANTE CNPJ_PARTICIPANTE CPF_PARTICIPANTE IE_PARTICIPANTE "
-                      "COD_MUN_PARTICIPANTE").split()
+DOCUMENT_FIELDS = [
+    "COD_MOD", "COD_SIT", "SER", "NUM_DOC", "CHV_NFE", "DT_DOC", "DT_E_S", "VL_DOC", "IND_PGTO", "VL_DESC",
+    "VL_ABAT_NT", "VL_MERC", "IND_FRT", "VL_FRT", "VL_SEG", "VL_OUT_DA", "VL_BC_ICMS", "VL_ICMS",
+    "VL_BC_ICMS_ST", "VL_ICMS_ST", "VL_IPI", "VL_PIS", "VL_COFINS", "VL_PIS_ST", "VL_COFINS_ST", "IND_OPER",
+    "IND_EMIT", "COD_PART",
+]
+PARTICIPANT_FIELDS = [
+    "NOME_PARTICIPANTE", "CNPJ_PARTICIPANTE", "CPF_PARTICIPANTE", "IE_PARTICIPANTE", "COD_MUN_PARTICIPANTE",
+]
 REQUIRED_TOTALS = ("CST_ICMS", "CFOP", "VL_OPR", "VL_RED_BC", "ALIQ_ICMS")
 # ----------------------------------------------------------------------------
 
@@ -105,12 +116,13 @@ def unexpected_cfops(df: DataFrame, cfop_table: DataFrame) -> DataFrame:
 
 def describe_documents(c100: DataFrame, header: DataFrame | None, participants: DataFrame | None,
                        municipalities: DataFrame | None) -> DataFrame:
-    """One row per document: its fields (suffix ``_C100``), participant, both states."""
+    """One row per document: its fields (suffix ``_C100``), participant, both states. Lines meet by the file they are in."""
+    file = file_column(c100)
     docs = c100.select(
-        F.col("_file_id").alias("_doc_file"), F.col("_row_id").alias("_doc_id"),
+        F.col(file).alias("_doc_file"), F.col("_row_id").alias("_doc_id"),
         *[(F.col(c) if c in c100.columns else typed_null()).alias(f"{c}_C100") for c in DOCUMENT_FIELDS])
     if header is not None:
-        own = header.filter(F.col("UF").isNotNull()).groupBy(F.col("_file_id").alias("_own_file")) \
+        own = header.filter(F.col("UF").isNotNull()).groupBy(F.col(file).alias("_own_file")) \
             .agg(F.min("UF").alias("UF_ESTABELECIMENTO"))
         docs = docs.join(own_shuffle(own, ["_own_file"]), F.col("_doc_file") == F.col("_own_file"), "left").drop("_own_file")
     else:
@@ -121,7 +133,7 @@ def describe_documents(c100: DataFrame, header: DataFrame | None, participants:
         order = [c for c in ("_row_id",) if c in participants.columns]
         known = one_per_key(
             participants.filter(F.col("COD_PARTICIPANTE").isNotNull()).select(
-                F.col("_file_id").alias("_p_file"), F.col("COD_PARTICIPANTE").alias("_p_code"), *order,
+                F.col(file).alias("_p_file"), F.col("COD_PARTICIPANTE").alias("_p_code"), *order,
                 *PARTICIPANT_FIELDS), ["_p_file", "_p_code"], prefer=order).drop(*order)
         if municipalities is not None:
             states = one_per_key(municipalities.select(
@@ -156,12 +168,12 @@ def with_table_rate(df: DataFrame, rates: DataFrame | None) -> DataFrame:
 
 
 def value_operations(registers: Mapping[str, DataFrame | None], references: Mapping[str, DataFrame | None], *,
-                     dedupe: bool = True) -> dict[str, DataFrame | None]:
+                     dedupe: bool = True, keep: Sequence[str] = ()) -> dict[str, DataFrame | None]:
     """``{"exemption": …, "reduction": …}`` in the 61-column report layout.
 
     ``registers`` holds C190 and, optionally, C100, 0000 and 0150; ``references`` holds cfop,
     municipios and aliquotas. Without C100, 0000 or 0150 there is no exemption (its rate
-    depends on the states) while the reduction goes on with empty columns.
+    depends on the states) while the reduction goes on with empty columns. Columns of C190 named in ``keep`` follow the layout.
     """
     totals = registers.get("C190")
     if totals is None:
@@ -170,8 +182,9 @@ def value_operations(registers: Mapping[str, DataFrame | None], references: Mapp
     picked = eligible_totals(totals)
     clash = [c for c in [*_ENRICHED, "UF_PARTICIPANTE", "ALIQUOTA_TABELA"] if c in picked.columns]
     picked = picked.drop(*clash)
-    if dedupe and {"_file_id", "_row_id"} <= set(picked.columns):
-        picked = picked.dropDuplicates(["_file_id", "_row_id"])
+    file = file_column(totals)
+    if dedupe and file and "_row_id" in picked.columns:
+        picked = one_per_key(picked, [file, "_row_id"])
     signed = with_cfop_sign(picked, references.get("cfop")).withColumns(
         {c: br_decimal(c) for c in ("VL_OPR", "VL_RED_BC", "ALIQ_ICMS")})
 
@@ -182,7 +195,7 @@ def value_operations(registers: Mapping[str, DataFrame | None], references: Mapp
             .withColumns({c: typed_null() for c in [*_ENRICHED, "UF_PARTICIPANTE"]})
     else:
         docs = describe_documents(c100, head, people, references.get("municipios"))
-        hit = (F.col("_file_id") == F.col("_doc_file")) & (F.col("_parent_uid_final") == F.col("_doc_id"))
+        hit = (F.col(file) == F.col("_doc_file")) & (F.col("_parent_uid_final") == F.col("_doc_id"))
         full = signed.join(docs, hit, "left").drop("_doc_file", "_doc_id")
     if complete:
         full = with_table_rate(own_state_fallback(full), references.get("aliquotas"))
@@ -195,13 +208,13 @@ def value_operations(registers: Mapping[str, DataFrame | None], references: Mapp
     reduced = full.filter(F.col("CST_ICMS").isin(*CST_REDUCTION) | (conditional & reduces))
     sign = F.col("_SINAL_CFOP")
     exemption = operations_report(
-        exempt, F.col("VL_OPR") * (F.col("ALIQUOTA_TABELA") / F.lit(100.0)) * sign, "CALCULO_DA_ISENCAO")
+        exempt, F.col("VL_OPR") * (F.col("ALIQUOTA_TABELA") / F.lit(100.0)) * sign, "CALCULO_DA_ISENCAO", keep)
     reduction = operations_report(
-        reduced, F.col("VL_RED_BC") * (F.col("ALIQ_ICMS") / F.lit(100.0)) * sign, "CALCULO_DA_REDUCAO")
+        reduced, F.col("VL_RED_BC") * (F.col("ALIQ_ICMS") / F.lit(100.0)) * sign, "CALCULO_DA_REDUCAO", keep)
     return {"exemption": exemption if complete else None, "reduction": reduction}
 
 
-def operations_report(df: DataFrame, value: Column, value_name: str) -> DataFrame:
+def operations_report(df: DataFrame, value: Column, value_name: str, keep: Sequence[str] = ()) -> DataFrame:
     """The business layout of 61 columns."""
     have = set(df.columns)
 
@@ -247,8 +260,8 @@ def operations_report(df: DataFrame, value: Column, value_name: str) -> DataFram
         "ALIQUOTA": col("ALIQUOTA_TABELA"), "CHAVE_OPERACAO_INTERESTADUAL": pair,
         value_name: value,
     }
-    return df.select(*[c.alias(n) for n, c in layout.items()])
+    return df.select(*[c.alias(n) for n, c in layout.items()], *keep)
 
 
-def periods_until(df: DataFrame, period: str = "period", last_year: int = LAST_YEAR) -> DataFrame:
+def periods_until(df: DataFrame, period: str = "period", *, last_year: int) -> DataFrame:
     return df.filter(F.substring(period, 1, 4).try_cast("int") <= last_year)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fiscalgrove.functions.files import is_amended_name, name_timestamp, version_key
 from fiscalgrove.functions.scalars import as_col
 from fiscalgrove.operators.columns import with_cnpj_base
-from fiscalgrove.operators.lookup import own_shuffle
+from fiscalgrove.operators.lookup import one_per_key, own_shuffle
 
 
 def latest_version(df: DataFrame | None, keys: Sequence[str] | None = None,
@@ -85,9 +85,9 @@ def merge_history(current: DataFrame, history: DataFrame | None, *, keys: Sequen
     History counts from ``years_back`` years before its own latest year (so six calendar
     years). Company and key must be known.
     """
-    current = current.dropDuplicates(list(keys))
+    current = one_per_key(current, list(keys))
     if history is None:
-        return current
+        return with_cnpj_base(current)
     year = F.substring("DT_INI", 5, 4).try_cast("int")
     old = with_cnpj_base(history).dropna(subset=list(keys)).withColumn("_year", year)
     last = old.groupBy(company).agg(F.max("_year").alias("_last"))
@@ -99,7 +99,7 @@ def merge_history(current: DataFrame, history: DataFrame | None, *, keys: Sequen
 def history_of_current_companies(current: DataFrame, history: DataFrame | None, *, this_year: int,
                                  keys: Sequence[str] = ("CNPJ", "DT_INI"), years_back: int = 5) -> DataFrame:
     """Variant with a fixed horizon, limited to companies that have current rows."""
-    current = current.dropDuplicates(list(keys))
+    current = one_per_key(current, list(keys))
     if history is None:
         return current
     year = F.substring("DT_INI", 5, 4).try_cast("int")

@@ -16,19 +16,24 @@ from pyspark.sql import types as T
 
 from fiscalgrove.catalog import ContractError
 from fiscalgrove.operators.columns import (
-    empty_frame, field_pairs, order_columns, select_fields, typed_null, void_to_string)
+    empty_frame, field_pairs, file_column, order_columns, select_fields, typed_null, void_to_string)
 from fiscalgrove.operators.lookup import enrich, lookup
 from fiscalgrove.plans.spec import (
-    ROOT, Entity, HierarchySpec, check_document_union, check_fields_exist, check_keyed, check_output,
-    report_kind)
+    Entity, HierarchySpec, KeyedEntity, KeyedSpec, check_document_union, check_output, report_kind)
 
 Registers = Mapping[str, DataFrame | None]
 METADATA = ("FILE_ID", "CNPJ", "NOME", "DT_INI", "OBRIG_ACESS")
 PARTITION_KEYS = ("cnpj_8_digits", "month_year")
 
 
-def file_column(df: DataFrame) -> str | None:
-    return next((c for c in ("_file_id", "FILE_ID", "_source_file") if c in df.columns), None)
+def carried(df: DataFrame, names) -> list[str]:
+    """The partition keys that a source has and its fields do not name."""
+    return [k for k in PARTITION_KEYS if k in df.columns and k not in names]
+
+
+def ordered(df: DataFrame, listed, policy: str) -> DataFrame:
+    """Ordered by the listed columns; partition keys stay whatever the policy."""
+    return order_columns(df, [*listed, *carried(df, listed)], policy) if listed else df
 
 
 def _id_type(sources) -> str:
@@ -114,53 +119,43 @@ def compile_hierarchy(spark: SparkSession, config: Mapping, registers: Registers
     kind = [] if "REG" in order else [F.lit(spec.entities[spec.grain].source).alias("REG")]
     final = out.select(*[c for c in order if c in out.columns], *kind, *line)
     listed = config.get("output_columns")
-    return order_columns(final, listed, config.get("column_policy", "keep_rest")) if listed else final
+    return ordered(final, listed, config.get("column_policy", "keep_rest"))
 
 
 def compile_keyed(spark: SparkSession, config: Mapping, registers: Registers) -> DataFrame | None:
     """Base entity joined with the others by declared keys; the root comes last."""
-    entities, base = check_keyed(config), config["base_entity"]
-    sources = {n: registers.get(str(c["source"])) for n, c in entities.items()}
-    check_fields_exist(entities, {n: None if d is None else d.columns for n, d in sources.items()})
-    if sources[base] is None:
+    names = [str(c.get("source")) for c in (config.get("entities") or {}).values()]
+    spec = KeyedSpec.parse(config, {n: registers[n].columns for n in names if registers.get(n) is not None})
+    if registers.get(spec.base.source) is None:
         return None
 
-    def entity(n: str) -> DataFrame:
-        cfg, df = entities[n], sources[n]
-        ids = []
-        if cfg.get("uid", "_row_id"):
-            ids.append(F.col(cfg.get("uid", "_row_id")).alias(f"{n}_UID"))
-        if cfg.get("parent_uid"):
-            ids.append(F.col(cfg["parent_uid"]).alias(f"{n}_PARENT_UID"))
-        file_col = file_column(df)
-        marker = [F.col(file_col).cast("string").alias("_k_file")] if file_col else []
-        return select_fields(df, cfg.get("fields"), keep=[*ids, *marker])
-
-    out = entity(base)
-    others = [n for n in entities if n not in (base, ROOT)] + ([ROOT] if ROOT in entities and base != ROOT else [])
-    for n in others:
-        if sources[n] is None:
-            continue
-        join = entities[n]["join"]
-        right = entity(n)
-        keys = [(k["left"], k["right"]) for k in join["keys"]]
-        for (left, _), (_, r) in zip(keys, keys):
-            if left not in out.columns or r not in right.columns:
-                raise ContractError(f"{config.get('name')}: {n}: key {left!r}/{r!r} not available")
-        by_line_id = any(k.endswith("UID") for pair in keys for k in pair)
-        same_file = by_line_id and "_k_file" in out.columns and "_k_file" in right.columns
-        slots = {r: f"_k{i}" for i, (_, r) in enumerate(keys)}
-        carried = [c for c in right.columns if c not in out.columns and c not in slots and c != "_k_file"]
-        right = right.select(*[F.col(r).cast("string").alias(s) for r, s in slots.items()],
-                             *([F.col("_k_file").alias("_k_rfile")] if same_file else []), *carried)
-        hit = reduce(lambda a, b: a & b, [F.col(le).cast("string") == F.col(slots[r]) for le, r in keys])
-        if same_file:
-            hit = hit & (F.col("_k_file") == F.col("_k_rfile"))
-        out = out.join(right, hit, join.get("type", "left")).drop(*slots.values(), "_k_rfile")
+    def frame(e: KeyedEntity) -> DataFrame:
+        df = registers[e.source]
+        ids = [F.col(c).alias(f"{e.name}_{kind}") for c, kind in ((e.uid, "UID"), (e.parent_uid, "PARENT_UID")) if c]
+        file = file_column(df)
+        keys = carried(df, [a for _, a in e.fields]) if e is spec.base else []
+        return select_fields(df, e.fields, keep=[*ids, *([F.col(file).cast("string").alias("_k_file")] if file else []), *keys])
+
+    out = frame(spec.base)
+    for e in (e for e in spec.others if registers.get(e.source) is not None):
+        right = frame(e)
+        odd = [(le, r) for le, r in e.keys if le not in out.columns or r not in right.columns]
+        if odd:
+            raise ContractError(f"{spec.name}: {e.name}: keys {odd} not available")
+        # a line id counts inside its file only
+        by_line = any(k.endswith("UID") for pair in e.keys for k in pair)
+        pairs = [(F.col(le).cast("string"), r) for le, r in e.keys]
+        if by_line and "_k_file" in out.columns and "_k_file" in right.columns:
+            pairs.append((F.col("_k_file"), "_k_file"))
+        met = {r for _, r in pairs}
+        fresh = [c for c in right.columns if c not in out.columns and c not in met]
+        slots = [F.col(r).cast("string").alias(f"_k{i}") for i, (_, r) in enumerate(pairs)]
+        hit = reduce(lambda a, b: a & b, [le == F.col(f"_k{i}") for i, (le, _) in enumerate(pairs)])
+        out = out.join(right.select(*slots, *fresh), hit, e.how).drop(*[f"_k{i}" for i in range(len(pairs))])
     out = out.drop("_k_file")
     listed = (config.get(f"reorder_columns_{config.get('name')}") or {}).get("fields") or config.get("output_columns")
     if listed:
-        out = out.select(*[c for c in listed if c in out.columns])
+        out = out.select(*[c for c in [*listed, *carried(out, listed)] if c in out.columns])
     check_output(out.columns, ["FILE_ID"], config.get("name", "report"))
     return out
 
@@ -181,13 +176,14 @@ def compile_source_union(spark: SparkSession, config: Mapping, registers: Regist
             df = enrich(df, registers.get(str(e["register"])), strategy=e["strategy"], key=e.get("key") or {},
                         fields=e.get("fields") or [], join_type=e.get("join_type", cfg.get("join_type", "left")),
                         agg=e.get("agg", "first"), within=within)
-        mapped = select_fields(df, [cfg.get("field_mapping") or {}],
-                               keep=[F.lit(cfg.get("doc_type")).cast("string").alias("DOC_TYPE")])
+        mapping = cfg.get("field_mapping") or {}
+        mapped = select_fields(df, [mapping], keep=[F.lit(cfg.get("doc_type")).cast("string").alias("DOC_TYPE"),
+                                                    *carried(df, [a for _, a in field_pairs([mapping])])])
         target = schema if "DOC_TYPE" in schema else ["DOC_TYPE", *schema]
-        parts.append(order_columns(mapped, target, "only_listed"))
+        parts.append(ordered(mapped, target, "only_listed"))
     if not parts:
         return None
-    out = reduce(lambda a, b: a.unionByName(b), parts)
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     check_output(out.columns, ["FILE_ID", "DOC_TYPE"], config.get("name", "report"))
     return out
 
@@ -202,7 +198,7 @@ def compile_document_union(spark: SparkSession, config: Mapping, registers: Regi
         out = lookup(out, registers.get(str(cfg["source"])), cfg.get("join_keys") or [], cfg.get("fields") or [],
                      join_type=cfg.get("join_type", "left"), mode=cfg.get("join_mode", "simple"))
     listed = config.get("output_columns")
-    out = order_columns(out, listed, "listed_then_rest") if listed else out
+    out = ordered(out, listed, "listed_then_rest")
     check_output(out.columns, ["REG_TIPO", "FILE_ID"], config.get("name", "report"))
     return out
 
@@ -219,15 +215,15 @@ def _document_block(spark: SparkSession, name: str, doc: Mapping, registers: Reg
         if right is not None:
             df = _flatten(df, right, child["join_to"], child["join_on"])
     return select_fields(df, [{s: a} for s, a in pairs],
-                         keep=[F.lit(doc.get("reg_type", name)).alias("REG_TIPO")])
+                         keep=[F.lit(doc.get("reg_type", name)).alias("REG_TIPO"), *carried(df, [a for _, a in pairs])])
 
 
 def _flatten(base: DataFrame, child: DataFrame, join_to: str, join_on: str) -> DataFrame:
     """Base rows with their children's fields; the base wins on equal names."""
     file_col = file_column(base)
     within = file_col if file_col and file_col in child.columns and join_to.startswith("_") else None
-    carried = [c for c in child.columns if c not in base.columns and c not in (join_on, join_to)]
-    right = child.select(F.col(join_on).alias("_c_key"), *([F.col(within).alias("_c_file")] if within else []), *carried)
+    fresh = [c for c in child.columns if c not in base.columns and c not in (join_on, join_to)]
+    right = child.select(F.col(join_on).alias("_c_key"), *([F.col(within).alias("_c_file")] if within else []), *fresh)
     hit = F.col(join_to) == F.col("_c_key")
     if within:
         hit = hit & (F.col(within) == F.col("_c_file"))

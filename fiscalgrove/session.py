@@ -28,11 +28,12 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app_name: str = "fiscalgrove", master: str | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None, input_bytes: int | None = None) -> SparkSession:
+    """``input_bytes``: the volume the session is for; it sets the number of initial shuffle partitions."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **(extra or {})}.items():
+    for key, value in {**SESSION_CONF, **(sized_conf(input_bytes) if input_bytes else {}), **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -52,9 +53,12 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
     ``spark.checkpoint.dir`` names storage every executor can reach. Only where it
-    is unset (local tests) is a temporary folder of this machine used.
+    is unset and the master is local (tests) is a temporary folder of this machine used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="fiscalgrove-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -17,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fiscalgrove.catalog import ContractError
 from fiscalgrove.operators.columns import plain_names, reject_duplicate_columns, void_to_string
 from fiscalgrove.operators.lookup import one_per_key, own_shuffle
 
@@ -176,7 +177,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, *, mode: str = "append",
 
 
 def convert(spark: SparkSession, source: str | DataFrame, target: str, *, source_fmt: str = "parquet",
-            target_fmt: str = "parquet", single_file: bool = False, sep: str = ";") -> None:
+            target_fmt: str = "parquet", sep: str = ";") -> None:
     """text -> parquet, csv -> parquet, parquet -> csv (``;``, header)."""
     if isinstance(source, DataFrame):
         df = source
@@ -185,7 +186,7 @@ def convert(spark: SparkSession, source: str | DataFrame, target: str, *, source
     else:
         df = spark.read.format(source_fmt).load(source)
     options = {"sep": sep, "header": "true"} if target_fmt == "csv" else {}
-    write_table(df.coalesce(1) if single_file else df, target, mode="overwrite", fmt=target_fmt, **options)
+    write_table(df, target, mode="overwrite", fmt=target_fmt, **options)
 
 
 # -------------------------------------------------------------- replace / upsert
@@ -246,35 +247,79 @@ def prune_to(target: DataFrame, rows: DataFrame, columns: Sequence[str]) -> Data
     return target
 
 
-def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Sequence[str]) -> None:
-    """Old rows that match a new row give way to it; only touched partitions are rewritten."""
+def partition_path(spark: SparkSession, path: str, row, partition_by: Sequence[str]) -> str:
+    """The folder of a partition, with NULL and special characters written as Spark writes them."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    parts = [utils.getPartitionPathString(c, None if row[c] is None else str(row[c])) for c in partition_by]
+    return "/".join([path.rstrip("/"), *parts])
+
+
+def drop_partitions(path: str, partitions: DataFrame, partition_by: Sequence[str]) -> None:
+    """Delete the folders of these partitions: as many as a batch has emptied."""
+    spark = partitions.sparkSession
+    for row in partitions.select(*partition_by).distinct().toLocalIterator():
+        delete_path(spark, partition_path(spark, path, row, partition_by))
+
+
+def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Sequence[str],
+           matching: DataFrame | None = None, places: DataFrame | None = None) -> None:
+    """Old rows that match a new row give way to it; only touched partitions are rewritten.
+
+    ``matching`` names the rows to replace where it is more than the new rows' keys. ``places`` says in
+    which partitions (by some of ``partition_by``) rows of these keys lie, so that the target is not searched.
+    """
     spark = new.sparkSession
     finish_pending(spark, path, partition_by)
     target = read_optional(spark, path, mergeSchema="true")
     if target is None:
         write_table(new, path, mode="overwrite", partition_by=partition_by, partitionOverwriteMode="static")
         return
-    matching = own_shuffle(new.select(*match_on).distinct(), match_on)
-    target = prune_to(target, new, [c for c in partition_by if c in match_on])
+    matching = own_shuffle((new if matching is None else matching).select(*match_on).distinct(), match_on)
     moving = not set(partition_by) <= set(match_on)
     old = target
-    if partition_by:
+    if places is not None:
+        cols = places.columns
+        wanted = places.unionByName(new.select(*cols)).distinct()
+        old = prune_to(target, wanted, cols).join(own_shuffle(wanted, cols), cols, "left_semi")
+    elif partition_by:
+        target = prune_to(target, new, [c for c in partition_by if c in match_on])
         touched = new.select(*partition_by).distinct()
         if moving:  # matching old rows may sit in partitions the new rows do not fill
             stale = target.join(matching, list(match_on), "left_semi").select(*partition_by)
             touched = touched.unionByName(stale).distinct()
         old = target.join(own_shuffle(touched, partition_by), list(partition_by), "left_semi")
+    before = old.select(*partition_by).distinct() if partition_by else None
     merged = old.join(matching, list(match_on), "left_anti").unionByName(new, allowMissingColumns=True)
     stage = f"{_beside(path, 'stage')}/{uuid.uuid4().hex}"
     write_table(merged, stage, mode="overwrite")
-    if partition_by and moving:
+    if partition_by and (moving or places is not None):
         # dynamic overwrite leaves a partition alone that has no rows any more
         filled = spark.read.schema(merged.schema).parquet(stage).select(*partition_by).distinct()
-        for row in touched.join(filled, list(partition_by), "left_anti").toLocalIterator():
-            delete_path(spark, "/".join([path.rstrip("/"), *[f"{c}={row[c]}" for c in partition_by]]))
+        drop_partitions(path, without(before, filled, partition_by), partition_by)
     _swap_in(spark, path, stage, partition_by)
 
 
+def without(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left rows whose keys the right side has not; NULL keys are equal."""
+    other = right.select(*[F.col(k).alias(f"_w_{k}") for k in keys])
+    return left.join(other, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]), "left_anti")
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], wanted: DataFrame) -> None:
+    """Write a result that stands for all ``wanted`` partitions: those without rows are emptied, others stay."""
+    missing = [c for c in partition_by if c not in df.columns]
+    if missing:
+        raise ContractError(f"{path}: the result lacks {missing}, so it cannot replace single partitions")
+    spark = df.sparkSession
+    rows, folder = store_incoming(df, path)
+    try:
+        write_table(rows, path, mode="overwrite", partition_by=partition_by, partitionOverwriteMode="dynamic")
+        empty = without(wanted.select(*partition_by).distinct(), rows.select(*partition_by).distinct(), partition_by)
+        drop_partitions(path, empty, partition_by)
+    finally:
+        delete_path(spark, folder)
+
+
 def store_incoming(df: DataFrame, path: str) -> tuple[DataFrame, str]:
     """Write the new rows once, so that merging does not compute their plan twice.
 
@@ -287,20 +332,23 @@ def store_incoming(df: DataFrame, path: str) -> tuple[DataFrame, str]:
 
 
 def replace_by_file(df: DataFrame, path: str, *, file_keys: Sequence[str] = ("_file_id",),
-                    partition_by: Sequence[str] = ("REG",), stored: bool = False) -> None:
+                    partition_by: Sequence[str] = ("REG",), stored: bool = False,
+                    files: DataFrame | None = None, places: DataFrame | None = None) -> None:
     """Write rows so that all earlier rows of the same files are gone.
 
     ``file_keys`` tell files apart; partition columns among them limit which folders are read.
-    Running it again with the same files gives the same table. ``stored`` says that ``df`` is
-    read from storage already.
+    ``files`` names files to replace that may have no rows now; ``places`` the partitions their
+    old rows lie in. Running it again with the same files gives the same table. ``stored`` says that
+    ``df`` is read from storage already.
     """
     if stored:
-        _merge(df, path, list(file_keys), partition_by)
+        _merge(df, path, list(file_keys), partition_by, files, places)
         return
-    spark = df.sparkSession
     rows, folder = store_incoming(df, path)
-    _merge(rows, path, list(file_keys), partition_by)
-    delete_path(spark, folder)
+    try:
+        _merge(rows, path, list(file_keys), partition_by, files, places)
+    finally:
+        delete_path(df.sparkSession, folder)
 
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Sequence[str] = (),
@@ -313,8 +361,10 @@ def upsert(df: DataFrame, path: str, keys: Sequence[str], *, partition_by: Seque
     """
     spark = df.sparkSession
     new, folder = store_incoming(one_per_key(df.dropna(subset=list(keys)), list(keys), prefer), path)
-    filled = not new.isEmpty()
-    if filled:
-        _merge(new, path, keys, partition_by)
-    delete_path(spark, folder)
-    return filled
+    try:
+        filled = not new.isEmpty()
+        if filled:
+            _merge(new, path, keys, partition_by)
+        return filled
+    finally:
+        delete_path(spark, folder)

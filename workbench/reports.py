@@ -12,7 +12,7 @@ from fiscalgrove.operators.columns import project_superset
 from fiscalgrove.plans.report import compile_report
 from fiscalgrove.sources.records import tag_records, with_cols
 from fiscalgrove.sources.tables import registers_of
-from workbench.derive import CATALOGUE, RULES, record_lines, spread_table, stored, table
+from workbench.derive import CATALOGUE, RULES, record_lines, stored, table
 
 CHAIN = {
     "name": "ITEMS", "base_entity": "C100",
@@ -46,7 +46,7 @@ CHAIN_SQL = """SELECT lpad(CAST(c_custkey AS VARCHAR),14,'0') AS "CNPJ", c_name
 def star_registers(spark, sf):
     """Registers straight from the tables, linked by natural ids (one 'file' per customer)."""
     cust, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
-    items = spread_table(spark, sf, "lineitem", "l_orderkey")
+    items = table(spark, sf, "lineitem")
     file_of = orders.select(F.col("o_orderkey").alias("_ok"), F.col("o_custkey").alias("_file_id"))
     owned = items.join(file_of, F.col("l_orderkey") == F.col("_ok")).drop("_ok")
     totals = owned.groupBy("_file_id", "l_orderkey", "l_returnflag").agg(
