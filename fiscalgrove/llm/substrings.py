@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +34,7 @@ PLACE_BITS = 18
 NULL_ID = np.iinfo(np.int64).min
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-_BLOCK = "block long, ids array<long>, sizes array<long>, text binary"
+_BLOCK = "block long, n_bytes long, ids array<long>, sizes array<long>, text binary"   # the text is compressed
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -65,7 +66,7 @@ class Segments:
         self.ids = np.array([NULL_ID if i is None else i for i in block["ids"]], dtype=np.int64)
         self.sizes = np.array(block["sizes"], dtype=np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.text = np.frombuffer(block["text"], dtype=np.uint8)
+        self.text = np.frombuffer(zstandard.ZstdDecompressor().decompress(block["text"]), dtype=np.uint8)
         step, n = (1 << PLACE_BITS) - length, len(self.text)
         found = [self._piece(c, min(c + step, n - length + 1)) for c in range(0, max(n - length + 1, 0), step)]
         row, first, last, place, anchor, head, tail = (np.concatenate(x) if found else np.empty(0, np.int64) for x in (zip(*found) if found else [()] * 7))
@@ -202,13 +203,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def block(number: int, batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column("text")]
+        whole = b"".join(texts)
         return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-             pa.array([b"".join(texts)], pa.binary())], names=["block", "ids", "sizes", "text"])
+            [pa.array([number], pa.int64()), pa.array([len(whole)], pa.int64()), pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())),
+             pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([zstandard.ZstdCompressor(level=3).compress(whole)], pa.binary())],
+            names=["block", "n_bytes", "ids", "sizes", "text"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     blocks = stored_blocks(rows, block, _BLOCK, "suffix-blocks")
-    size = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     # a segment has about a third of the windows between two anchors at random places
     anchors = stored(exchange(published(blocks, lambda b: Segments(b, length).anchor_keys(), parts_for(size // ((length - DIGIT) // 2 + 1))), ["<u8", "<i8"], _settle), "suffix-anchors")
     several = anchors.agg(F.sum("n")).first()[0] or 0
