@@ -16,10 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: the plan is cut, lost executors lose nothing."""
-    path = scratch_dir(df.sparkSession, purpose)
+    """Write to the shared scratch folder and read back: the plan is cut, lost executors lose nothing.
+
+    What was stored needs its shuffle files no more. Spark's cleaner deletes them once the driver's collector has
+    found the plan unused, so the collector is asked to look now: else disks fill up in a long chain of steps.
+    """
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_dir(spark, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def words_of(text: Column) -> Column:
