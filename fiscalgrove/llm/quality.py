@@ -83,13 +83,14 @@ def thresholds(rows: DataFrame) -> DataFrame:
         F.struct("lang").alias("l"), F.struct("source").alias("s"), "stats").rollup("l", "s").agg(
         F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"), *quartiles)
     fences = F.struct(*[(F.col(r)[1] + F.greatest(F.lit(REACH) * (F.col(r)[1] - F.col(r)[0]), F.lit(slack))).alias(r) for r, slack in RATIOS.items()])
-    levels = levels.select("l", "s", "n", "level", fences.alias("most"))
+    levels = stored(levels.select("l", "s", "n", "level", fences.alias("most")), "quality-levels")
     big = F.col("n") >= MIN_GROUP
     groups = levels.where("level = 0").select("l", "s", F.when(big, F.col("most")).alias("own"))
     langs = levels.where("level = 1").select(F.col("l").alias("ll"), F.when(big, F.col("most")).alias("of_lang"))
-    everything = levels.where("level = 3").select(F.col("most").alias("of_all"))
-    merged = groups.join(langs, F.col("l") == F.col("ll"), "left").join(F.broadcast(everything))  # one row
-    return merged.select(F.col("l.lang").alias("t_lang"), F.col("s.source").alias("t_source"), F.coalesce("own", "of_lang", "of_all").alias("most"))
+    everything = levels.where("level = 3").select("most.*").first()  # one row, none where no document passes
+    of_all = F.struct(*[F.lit(None if everything is None else everything[r]).cast("double").alias(r) for r in RATIOS])
+    merged = groups.join(langs, F.col("l") == F.col("ll"), "left")
+    return merged.select(F.col("l.lang").alias("t_lang"), F.col("s.source").alias("t_source"), F.coalesce("own", "of_lang", of_all).alias("most"))
 
 
 def judged(rows: DataFrame) -> DataFrame:
