@@ -107,9 +107,9 @@ def annual_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                          "PER_APUR", F.col("o_orderkey").alias("_row_id"),
                          br_text(F.col("_signed")).alias("VAL_CTA_REF_INI")),
         "N500": o.select(*keys, br_text(F.col("_signed")).alias("VALOR")),
-        "Y570": o.filter("o_orderstatus = 'O'").select(
-            *keys, br_text(F.col("o_totalprice")).alias("IR_RET"),
-            F.when(F.col("o_orderpriority") == "5-LOW", br_text(F.col("o_totalprice"))).alias("CSLL_RET")),
+        "Y570": o.withColumn("_held", F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice")).otherwise(0.0)).select(
+            *keys, br_text(F.col("_held")).alias("IR_RET"),
+            F.when(F.col("o_orderpriority") == "5-LOW", br_text(F.col("_held"))).alias("CSLL_RET")),
         "payments": o.select(*keys, _coded(_PAY_CODE).alias("codigo_receita"),
                              F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).otherwise(0.0)
                              .alias("valor_principal")),

@@ -47,7 +47,7 @@ _FIS = _result("fis", "", "round(sum(v),2)", "fiscal", "fiscal_anos")
 _PL = f"""pl0 AS (SELECT {_KY}, arg_min(v, o_orderkey) AS x FROM o WHERE c='2' AND a00 GROUP BY ALL),
 pl AS (SELECT {_KY}, x AS patrimonio_liquido, x>0 AS pl_positivo, CASE WHEN lag(x) OVER ({_L}) <> 0 THEN (x - lag(x) OVER ({_L})) / abs(lag(x) OVER ({_L})) * 100.0 END AS evo,
   CASE WHEN x>0 THEN x*0.06 ELSE 0.0 END AS jcp FROM pl0)"""
-_RET = f"""ret AS (SELECT {_KY}, sum(t) AS ir, sum(CASE WHEN c='5' THEN t ELSE 0.0 END) AS csll FROM o WHERE s='O' GROUP BY ALL)"""
+_RET = f"""ret AS (SELECT {_KY}, sum(CASE WHEN s='O' THEN t ELSE 0.0 END) AS ir, sum(CASE WHEN c='5' AND s='O' THEN t ELSE 0.0 END) AS csll FROM o GROUP BY ALL)"""
 _PAY = f"""pay AS (SELECT {_KY}, {", ".join(f"sum(CASE WHEN s='F' AND c='{c}' THEN t ELSE 0.0 END) AS {n}" for c, n in
   (("1", "irpj_lr_pago"), ("2", "csll_lr_pago"), ("3", "irpj_lp_pago"), ("4", "csll_lp_pago")))}, sum(CASE WHEN s='F' THEN t ELSE 0.0 END) AS total_darf_pago,
   count(DISTINCT c) AS qtd_codigos_receita FROM o GROUP BY ALL)"""

@@ -11,7 +11,8 @@ from fiscalgrove.operators.tree import header_of_files, link_parents, propagate_
 from fiscalgrove.operators.columns import project_superset
 from fiscalgrove.plans.report import compile_report
 from fiscalgrove.sources.records import tag_records, with_cols
-from fiscalgrove.sources.tables import registers_of
+from fiscalgrove.session import scratch_dir
+from fiscalgrove.sources.tables import registers_of, write_table
 from workbench.derive import CATALOGUE, RULES, record_lines, stored, table
 
 CHAIN = {
@@ -31,8 +32,9 @@ def report_chain(spark, sf):
     bronze = stored(tag_records(record_lines(spark, sf)), "bronze")
     wide = project_superset(with_cols(link_parents(bronze, RULES)).drop("value"), CATALOGUE)
     heads = header_of_files(with_cols(bronze), {"CNPJ": F.get("cols", F.lit(2)), "NOME": F.get("cols", F.lit(3))})
-    silver = stored(propagate_header(wide, heads), "silver")
-    out = compile_report(spark, CHAIN, registers_of(silver, ["0000", "C100", "C170"]))
+    silver = scratch_dir(spark, "silver")
+    write_table(propagate_header(wide, heads), silver, partition_by=("REG",))   # a report reads its record types' folders
+    out = compile_report(spark, CHAIN, registers_of(spark.read.parquet(silver), ["0000", "C100", "C170"]))
     return out.select("CNPJ", "NOME", "NUM_DOC", "COD_SIT", "DATA", "NUM_ITEM", "COD_ITEM", "QTD",
                       F.col("row_id").cast("long").alias("row_id"))
 
@@ -249,13 +251,15 @@ def consolidate_outer(spark, sf):
     o = table(spark, sf, "orders").select("o_custkey", F.year("o_orderdate").alias("y"), "o_orderstatus")
     part = lambda s, n: o.filter(F.col("o_orderstatus") == s).groupBy("o_custkey", "y").agg(
         F.count(F.lit(1)).alias(n), F.count(F.lit(1)).alias("both"))
-    out = outer_consolidate([part("F", "nf"), None, part("O", "no")], ["o_custkey", "y"])
+    out = outer_consolidate([part("F", "nf"), None, part("O", "no"), part("P", "np")], ["o_custkey", "y"])
     return safe_join(out, None, ["o_custkey"])
 
 
 OUTER_SQL = """WITH f AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS nf, count(*) AS "both" FROM orders WHERE o_orderstatus='F' GROUP BY 1,2),
-o AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS no FROM orders WHERE o_orderstatus='O' GROUP BY 1,2)
-SELECT coalesce(f.o_custkey,o.o_custkey) AS o_custkey, coalesce(f.y,o.y) AS y, nf, "both", no FROM f FULL JOIN o ON f.o_custkey=o.o_custkey AND f.y=o.y"""
+o AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS no FROM orders WHERE o_orderstatus='O' GROUP BY 1,2),
+p AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS np FROM orders WHERE o_orderstatus='P' GROUP BY 1,2),
+k AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE o_orderstatus IN ('F','O','P'))
+SELECT o_custkey, y, nf, "both", no, np FROM k LEFT JOIN f USING (o_custkey,y) LEFT JOIN o USING (o_custkey,y) LEFT JOIN p USING (o_custkey,y)"""
 
 
 def unpivot_wide(spark, sf):
