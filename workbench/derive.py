@@ -27,6 +27,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def one_name(registers: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The same records as if all files had one name; their paths tell them apart."""
+    return {k: df.withColumns({"_file_key": F.col("_file_id").cast("string"), "_file_id": F.lit("sped.txt")}) for k, df in registers.items()}
+
+
 def br_text(c: Column) -> Column:
     """1234.5 -> ``1.234,50``"""
     return F.translate(F.format_number(c, 2), ",.", ".,")

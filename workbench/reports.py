@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fiscalgrove.operators.lookup import (
@@ -13,7 +14,7 @@ from fiscalgrove.plans.report import compile_report
 from fiscalgrove.sources.records import tag_records, with_cols
 from fiscalgrove.session import scratch_dir
 from fiscalgrove.sources.tables import registers_of, write_table
-from workbench.derive import CATALOGUE, RULES, record_lines, stored, table
+from workbench.derive import CATALOGUE, RULES, one_name, record_lines, stored, table
 
 CHAIN = {
     "name": "ITEMS", "base_entity": "C100",
@@ -89,6 +90,22 @@ LATERAL_SQL = f"""WITH {_TOTALS} SELECT c_name, o_orderkey, o_orderstatus, l_lin
  FROM lineitem JOIN orders ON l_orderkey=o_orderkey LEFT JOIN customer ON c_custkey=o_custkey LEFT JOIN t ON t.k=o_orderkey"""
 
 
+def report_same_names(spark, sf):
+    """Files of all companies share one name, and their line ids start alike: only the path tells them apart."""
+    regs = star_registers(spark, sf)
+    nth = F.row_number().over(Window.partitionBy("_file_id").orderBy("o_orderkey")).cast("long")
+    docs = regs["C100"].withColumn("_nth", nth)
+    place = docs.select(F.col("o_orderkey").alias("_ok"), "_nth")
+    items = regs["C170"].join(place, F.col("_parent_uid_final") == F.col("_ok")).withColumn("_parent_uid_final", F.col("_nth")).drop("_ok", "_nth")
+    spec = {"name": "ITEMS", "entities": {k: LATERAL["entities"][k] for k in ("0000", "C100", "C170")}}
+    out = compile_report(spark, spec, one_name({"0000": regs["0000"], "C100": docs.withColumn("_row_id", F.col("_nth")).drop("_nth"), "C170": items}))
+    return out.select("c_name", "o_orderkey", "o_orderstatus", "l_linenumber", "l_partkey")
+
+
+SAME_SQL = """SELECT c_name, o_orderkey, o_orderstatus, l_linenumber, l_partkey FROM lineitem JOIN orders ON l_orderkey=o_orderkey
+ LEFT JOIN customer ON c_custkey=o_custkey"""
+
+
 def report_document_grain(spark, sf):
     """A declared grain: documents without items stay, items come as lateral rows."""
     spec = {"name": "DOCS", "grain": "C100", "entities": {k: LATERAL["entities"][k] for k in ("0000", "C100", "C170")}}
@@ -275,7 +292,7 @@ UNION ALL SELECT o_orderkey, 'A010', c_mktsegment, NULL FROM orders JOIN custome
 
 QUERIES = {
     "report_chain": (report_chain, CHAIN_SQL), "report_lateral": (report_lateral, LATERAL_SQL),
-    "report_document_grain": (report_document_grain, GRAIN_SQL), "report_document_union": (report_document_union, DOC_UNION_SQL),
+    "report_document_grain": (report_document_grain, GRAIN_SQL), "report_same_names": (report_same_names, SAME_SQL), "report_document_union": (report_document_union, DOC_UNION_SQL),
     "report_keyed": (report_keyed, KEYED_SQL), "report_source_union": (report_source_union, SOURCE_UNION_SQL),
     "coalesce_lookup": (coalesce_lookup, COALESCE_SQL), "simple_lookup": (simple_lookup, SIMPLE_SQL),
     "child_rollup": (child_rollup, ROLLUP_SQL), "field_inheritance": (field_inheritance, INHERIT_SQL),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fiscalgrove.operators.audit import distinct_sets, fan_out_audit, frequency_profile, missing_files
 from fiscalgrove.operators.subsidy import (
     eligibility_funnel, eligible_periods, periods_until, unexpected_cfops, value_operations, with_cfop_sign)
-from workbench.derive import br_text, table
+from workbench.derive import br_text, one_name, table
 
 
 def _by(column: str, mapping: dict[str, str], default=None):
@@ -83,6 +83,12 @@ def subsidy_exemption(spark, sf):
 EXEMPT_SQL = f"""WITH {_SUB} SELECT {_COLS}, round(CAST(opr AS DOUBLE)*(rate/100.0)*sgn,4) AS "CALCULO_DA_ISENCAO" FROM f WHERE rf='A' OR (rf='N' AND red IS NULL)"""
 
 
+def subsidy_same_names(spark, sf):
+    """The exemption where the files of all companies share one name."""
+    out = value_operations(one_name(registers(spark, sf)), references(spark, sf))["exemption"]
+    return out.select(*_PICK, F.round("CALCULO_DA_ISENCAO", 4).alias("CALCULO_DA_ISENCAO"))
+
+
 def subsidy_reduction(spark, sf):
     """Base reduction x own rate x sign, for reduced totals."""
     out = value_operations(registers(spark, sf), references(spark, sf))["reduction"]
@@ -181,7 +187,7 @@ def reconcile(spark, sf):
 RECON_SQL = "SELECT o_orderkey AS _file_id, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"
 
 QUERIES = {
-    "subsidy_exemption": (subsidy_exemption, EXEMPT_SQL), "subsidy_reduction": (subsidy_reduction, REDUCE_SQL),
+    "subsidy_exemption": (subsidy_exemption, EXEMPT_SQL), "subsidy_same_names": (subsidy_same_names, EXEMPT_SQL), "subsidy_reduction": (subsidy_reduction, REDUCE_SQL),
     "subsidy_without_documents": (subsidy_without_documents, NODOC_SQL), "eligibility_funnel": (funnel, FUNNEL_SQL),
     "eligibility_scan": (eligibility, ELIG_SQL), "cfop_sign": (cfop_signs, SIGN_SQL), "unexpected_cfops": (odd_cfops, ODD_SQL),
     "frequency_profile": (profile, PROFILE_SQL), "fan_out_audit": (fan_out, FAN_SQL), "distinct_sets": (sets, SETS_SQL),
