@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalgrove.catalog import ContractError
-from fiscalgrove.operators.columns import field_pairs, require_columns, typed_null
+from fiscalgrove.operators.columns import add_constants, field_pairs, require_columns, typed_null
 
 
 def safe_join(left: DataFrame, right: DataFrame | None, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -229,3 +229,17 @@ def asof_regime(df: DataFrame, regimes: DataFrame, *, root: Column, year: Column
     found = F.try_element_at(usable, F.lit(-1))["_regime"]
     return joined.withColumn(out, F.coalesce(found, F.lit(missing))) \
         .drop("_lookup_root", "_year", "_root", "_history")
+
+
+def stamp_regime(wide: DataFrame, regimes: DataFrame, *, source: str, company: str = "CNPJ", start: str = "DT_INI",
+                 registers: Sequence[str] | None = None) -> DataFrame:
+    """Regime of each line's company as of the year of its period, and where it was found (``REGIME_FONTE``).
+
+    With ``registers`` only lines of these record types are stamped; the others have NULL in both columns.
+    """
+    root = F.substring(F.regexp_replace(company, r"\D", ""), 1, 8)
+    stamped = asof_regime(wide, regimes, root=root, year=F.substring(start, 5, 4).try_cast("int"))
+    stamped = add_constants(stamped, {"REGIME_FONTE": source}, registers)
+    if registers is None:
+        return stamped
+    return stamped.withColumn("REGIME_TRIBUTARIO", F.when(F.col("REG").isin(sorted(registers)), F.col("REGIME_TRIBUTARIO")))

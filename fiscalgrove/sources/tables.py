@@ -81,25 +81,6 @@ DIAGNOSTIC_TABLES = {
     "master": "gold_pre_diagnostic_master",
     "master_historical": "gold_pre_diagnostic_master_historical",
 }
-COMPANY_TAX_PROFILE_DDL = """
-    cnpj string, razao_social string, ano_calendario int,
-    regime_history array<struct<ano: int, regime: string, points: int, eligible: boolean>>,
-    patrimonio_history struct<patrimonio_liquido: double, evolucao_patrimonial: double,
-                              capacidade_jcp: double>,
-    contabil_history struct<lucro_liquido: double, prejuizo_contabil: double,
-                            recorrencia_lucro_anos: int, recorrencia_prejuizo_anos: int>,
-    fiscal_history struct<lucro_fiscal: double, prejuizo_fiscal: double, base_calculo: double,
-                          recorrencia_fiscal_anos: int>,
-    retentions struct<irpj_retido: double, csll_retido: double, divergencia_retencao: boolean,
-                      potencial_compensacao: double>,
-    darf_payments array<struct<periodo_apuracao: string, codigo_receita: string,
-                               valor_principal: double>>,
-    identified_opportunities array<struct<opportunity_id: string, description: string,
-                                          reference_code: string, estimated_credit: double,
-                                          score_impact: double>>,
-    score double, classification string, go_no_go string, estimated_recovery double,
-    commercial_priority string
-"""
 # ----------------------------------------------------------------------------
 
 

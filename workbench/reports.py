@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fiscalgrove.operators.lookup import (
-    asof_regime, code_lookup, enrich, inherit_fields, lookup, outer_consolidate, roll_up_children, safe_join)
+    asof_regime, code_lookup, enrich, inherit_fields, lookup, outer_consolidate, roll_up_children, safe_join, stamp_regime)
 from fiscalgrove.operators.reshape import unpivot_registers
 from fiscalgrove.operators.tree import header_of_files, link_parents, propagate_header
 from fiscalgrove.operators.columns import project_superset
@@ -279,6 +279,22 @@ k AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM or
 SELECT o_custkey, y, nf, "both", no, np FROM k LEFT JOIN f USING (o_custkey,y) LEFT JOIN o USING (o_custkey,y) LEFT JOIN p USING (o_custkey,y)"""
 
 
+def regime_stamp(spark, sf):
+    """Regime of the company as of the period's year on documents; headers stay without."""
+    o = table(spark, sf, "orders")
+    lines = o.select(F.lpad(F.col("o_custkey").cast("string"), 8, "0").alias("CNPJ"), F.date_format("o_orderdate", "ddMMyyyy").alias("DT_INI"),
+                     F.when(F.col("o_orderstatus") == "P", "0000").otherwise("C100").alias("REG"), "o_orderkey")
+    c = table(spark, sf, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("cnpj"), "c_mktsegment", "c_nationkey")
+    regimes = c.select("cnpj", F.lit(1993).alias("ano"), F.col("c_mktsegment").alias("regime")).unionByName(
+        c.filter("c_nationkey < 12").select("cnpj", F.lit(1996).alias("ano"), F.lit("LATER").alias("regime")))
+    return stamp_regime(lines, regimes, source="TABLE", registers=["C100"]).select("o_orderkey", "REG", "REGIME_TRIBUTARIO", "REGIME_FONTE")
+
+
+REGIME_SQL = """SELECT o_orderkey, CASE WHEN o_orderstatus='P' THEN '0000' ELSE 'C100' END AS "REG",
+ CASE WHEN o_orderstatus='P' THEN NULL WHEN year(o_orderdate) >= 1996 AND c_nationkey < 12 THEN 'LATER' WHEN year(o_orderdate) >= 1993 AND c_custkey IS NOT NULL THEN c_mktsegment
+  ELSE 'NAO_LOCALIZADO' END AS "REGIME_TRIBUTARIO", CASE WHEN o_orderstatus<>'P' THEN 'TABLE' END AS "REGIME_FONTE" FROM orders LEFT JOIN customer ON c_custkey=o_custkey"""
+
+
 def unpivot_wide(spark, sf):
     """Suffixed wide columns to one row per record type."""
     wide = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").select(
@@ -297,5 +313,5 @@ QUERIES = {
     "coalesce_lookup": (coalesce_lookup, COALESCE_SQL), "simple_lookup": (simple_lookup, SIMPLE_SQL),
     "child_rollup": (child_rollup, ROLLUP_SQL), "field_inheritance": (field_inheritance, INHERIT_SQL),
     "asof_lookup": (asof_lookup, ASOF_SQL), "code_lookup": (code_attributes, CODE_SQL),
-    "consolidate_outer": (consolidate_outer, OUTER_SQL), "unpivot_wide": (unpivot_wide, UNPIVOT_SQL),
+    "consolidate_outer": (consolidate_outer, OUTER_SQL), "regime_stamp": (regime_stamp, REGIME_SQL), "unpivot_wide": (unpivot_wide, UNPIVOT_SQL),
 }
