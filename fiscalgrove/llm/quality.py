@@ -20,6 +20,8 @@ MIN_GROUP = 100
 REACH = 6.0
 #: relative rank error of a sketch: one in so many
 ACCURACY = 10_000
+#: thresholds of up to so many groups (some 100 bytes each) are sent to all tasks; more are joined with a shuffle
+MAX_SENT = 100_000
 #: ratio -> least distance of a fence from the upper quartile, so that groups without spread reject nothing usual
 RATIOS = {"symbols": 0.05, "dup_lines": 0.30, "repeats": 0.30, "word_length": 3.0}
 _RATIO_OF = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"),
@@ -89,8 +91,10 @@ def thresholds(rows: DataFrame) -> DataFrame:
     langs = levels.where("level = 1").select(F.col("l").alias("ll"), F.when(big, F.col("most")).alias("of_lang"))
     everything = levels.where("level = 3").select("most.*").first()  # one row, none where no document passes
     of_all = F.struct(*[F.lit(None if everything is None else everything[r]).cast("double").alias(r) for r in RATIOS])
-    merged = groups.join(langs, F.col("l") == F.col("ll"), "left")
-    return merged.select(F.col("l.lang").alias("t_lang"), F.col("s.source").alias("t_source"), F.coalesce("own", "of_lang", of_all).alias("most"))
+    few = levels.count() <= MAX_SENT
+    merged = groups.join(F.broadcast(langs) if few else langs, F.col("l") == F.col("ll"), "left")
+    out = merged.select(F.col("l.lang").alias("t_lang"), F.col("s.source").alias("t_source"), F.coalesce("own", "of_lang", of_all).alias("most"))
+    return F.broadcast(out) if few else out
 
 
 def judged(rows: DataFrame) -> DataFrame:
