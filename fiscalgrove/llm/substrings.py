@@ -206,7 +206,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         whole = b"".join(texts)
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([len(whole)], pa.int64()), pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())),
-             pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([zstandard.ZstdCompressor(level=3).compress(whole)], pa.binary())],
+             pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([zstandard.ZstdCompressor(level=6).compress(whole)], pa.binary())],
             names=["block", "n_bytes", "ids", "sizes", "text"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
