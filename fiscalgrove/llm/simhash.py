@@ -150,8 +150,13 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cells = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text")]
     marked = with_fingerprint(docs.select(*cells), "text", "fp").select("row", "fp", F.monotonically_increasing_id().alias("n"))
     rows = stored(marked, "simhash-rows")
+    return firsts(rows, grouped(rows, distance), id_col)
+
+
+def firsts(rows: DataFrame, linked: DataFrame, id_col: str) -> DataFrame:
+    """rows: stored ``row``, ``n``, ``fp``; linked: ``node`` and ``root`` of linked prints. Of each group the row of the smallest id."""
     narrow = rows.select("fp", "n", F.col("row")[id_col].alias("id"))
-    roots = stored(narrow.select("fp").distinct().join(grouped(narrow, distance), F.col("fp") == F.col("node"), "left").select(
+    roots = stored(narrow.select("fp").distinct().join(linked, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("of"), F.coalesce("root", "fp").alias("root")), "simhash-roots")
     placed = narrow.join(roots, F.col("fp") == F.col("of")).select("root", "n", "id")
     first = placed.groupBy("root").agg(F.min("id").alias("first"))
