@@ -70,26 +70,28 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """id, source and size (words; a null text has none) of each row, stored once."""
+def sized(docs: DataFrame, id_col: str, source_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
+    """id, source and size (words; a null text has none) of each row, stored once; with ``row_col`` also ``row``."""
+    row = [F.col(row_col).alias("row")] if row_col else []
     words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
-    return stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), words.alias("size")), "mix-sizes")
+    return stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), words.alias("size"), *row), "mix-sizes")
 
 
 def mix(docs: DataFrame, seed: int = 7, shards: int = 16, weights: dict | None = None, id_col: str = "doc_id",
-        source_col: str = "source", text_col: str = "text", block_docs: int = BLOCK_DOCS) -> tuple[DataFrame, DataFrame]:
+        source_col: str = "source", text_col: str = "text", block_docs: int = BLOCK_DOCS, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Plans a mix as long as ``docs``. Returns
 
     * draws: one row per document and round that takes it: ``id``, ``source``, ``size``, ``block``, ``round``,
       ``words`` (how many of its words, all but for the document at which a source meets its target), ``shard``, ``place``
-      (orders the documents of a shard);
+      (orders the documents of a shard); with ``row_col``, a number of each row, also ``row``;
     * totals: one row per document: ``id``, ``size``, ``source``, ``source_size``, ``target``, ``taken``.
 
     A null text counts no words and is never drawn, nor is a document without words. Null is a source of its own,
     last in order. Rows with equal or null ids stay rows of their own. An empty table gives an empty mix.
     """
     spark = docs.sparkSession
-    rows = sized(docs, id_col, source_col, text_col)
+    rows = sized(docs, id_col, source_col, text_col, row_col)
+    row = ["row"] if row_col else []
     per_source = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(per_source) > MAX_SOURCES or len(per_source) * shards > MAX_CELLS:
         raise ValueError(f"more than {MAX_SOURCES} sources, or {MAX_CELLS} cells of sources and shards")
@@ -133,12 +135,12 @@ def mix(docs: DataFrame, seed: int = 7, shards: int = 16, weights: dict | None =
 
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))
     picked = placed.where("size > 0").join(drawn, same).drop("s", "b")
-    inside = Window.partitionBy("source", "block", "round").orderBy("key", "id", "size")
+    inside = Window.partitionBy("source", "block", "round").orderBy("key", "id", "size", *row)
     cut = picked.where("cut").withColumn("before", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn(
         "words", F.least(F.greatest(F.col("most") - F.col("before"), F.lit(0)), F.col("size"))).drop("before")
     draws = picked.where("not cut").withColumn("words", F.col("size")).unionByName(cut).where("words > 0").withColumn(
         "place", F.xxhash64(salt, F.lit("place"), "round", "id"))
-    draws = draws.select("id", "source", "size", "block", "round", "words", "shard", "place", "key")
+    draws = draws.select("id", "source", "size", "block", "round", "words", "shard", "place", "key", *row)
 
     keys = ["id", "source", "size", "source_size", "target"]
     # every row of the table, also those never drawn; equal rows are told apart by their number
@@ -160,13 +162,25 @@ def mixed_documents(docs: DataFrame, seed: int = 7, shards: int = 16, id_col: st
                     text_col: str = "text") -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is drawn, with ``mix_round``, ``mix_shard`` and ``mix_place``
     (sort by shard and place to read a shard in its local order). Where a document is cut, its text ends with the last
-    word taken. Documents without words are in no mix. Ids must be unique and not null for this form."""
-    draws, _ = mix(docs, seed, shards, None, id_col, source_col, text_col)
-    picks = draws.select(F.col("id").alias("_id"), F.col("size").alias("_size"), F.col("words").alias("_words"),
-                         F.col("round").alias("mix_round"), F.col("shard").alias("mix_shard"), F.col("place").alias("mix_place"))
-    joined = docs.join(picks, F.col(id_col) == F.col("_id"))
+    word taken. Documents without words are in no mix. Rows are stored once with a number that draws are joined on, so
+    rows with null or repeated ids stay rows of their own. Where ``docs`` has a column of such a name, the added one
+    gets underscores behind it."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = stored(docs.select(whole, F.monotonically_increasing_id().alias("n")), "mix-rows")
+    cell = lambda c: F.col("row").getField(c)
+    plain = rows.select("n", cell(id_col).alias("id"), cell(source_col).alias("source"), cell(text_col).alias("text"))
+    draws, _ = mix(plain, seed, shards, None, "id", "source", "text", row_col="n")
+    picks = draws.select(F.col("row").alias("of"), "size", "words", "round", "shard", "place")
+    joined = rows.join(picks, F.col("n") == F.col("of"))
     # words with what stands before them: the first so many, joined, are the text up to the end of the last word taken
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"), F.lit(0))
-    head = F.array_join(F.slice(pieces, F.lit(1), F.col("_words").cast("int")), "")
-    text = F.when(F.col("_words") < F.col("_size"), head).otherwise(F.col(text_col))
-    return joined.withColumn(text_col, text).drop("_id", "_size", "_words")
+    pieces = F.regexp_extract_all(cell(text_col), F.lit(r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"), F.lit(0))
+    head = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
+    text = F.when(F.col("words") < F.col("size"), head).otherwise(cell(text_col))
+    taken = {c.lower() for c in docs.columns}
+    added = []
+    for c in ("round", "shard", "place"):
+        name = f"mix_{c}"
+        while name in taken:
+            name += "_"
+        added.append(F.col(c).alias(name))
+    return joined.select(*[(text if c == text_col else cell(c)).alias(c) for c in docs.columns], *added)
