@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fiscalgrove.llm.shared import stored
+
 #: bytes of benchmark text whose tables are sent to the tasks at once
 PART_BYTES = 16 << 20
 
@@ -117,11 +119,13 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, row_col: str, text_col: s
     ``items``: the ids of the items that occur, as a sorted array of strings.
 
     Null and empty texts have no words and no hits; items without words match nothing; a null item id
-    is named ``null``; repeated items count once. With one part rows of equal or null ``row_col`` stay apart;
-    with several they are told apart by ``row_col``, which must then be unique.
+    is named ``null``; repeated items count once. Rows of equal or null ``row_col`` stay apart: with several parts
+    the rows are stored once with a number that their hits are joined by.
     """
     shared_parts = pattern_parts(benchmark, item_col, item_text_col, part_bytes)
-    narrow = docs.select(F.col(row_col).cast("string").alias("row"), F.col(text_col).cast("string").alias("text"))
+    narrow = docs.select(F.col(row_col).cast("string").alias("row"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("n"))
+    if len(shared_parts) > 1:
+        narrow = stored(narrow, "decontaminate-rows")
     found = []
     for shared in shared_parts:
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -134,17 +138,17 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, row_col: str, text_col: s
                     starts, ends, seen = hits_of(words, patterns)
                     rows.append((len(words), starts, ends, sorted(names[i] for i in seen)))
                 columns = [pa.array([r[j] for r in rows], _HITS.field(j + 1).type) for j in range(4)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), *columns], schema=_HITS)
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), *columns, batch.column(2).cast(pa.int64())], schema=_HITS.append(pa.field("n", pa.int64())))
 
-        found.append(narrow.mapInArrow(search, _HITS_DDL))
+        found.append(narrow.mapInArrow(search, f"{_HITS_DDL}, n long"))
     if len(found) == 1:
-        return found[0]
+        return found[0].drop("n")
     both = found[0]
     for more in found[1:]:
         both = both.unionByName(more)
     # runs of hit words of several parts overlap: a run starts where no earlier one reaches
     spans = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))))
-    grouped = both.groupBy("row").agg(F.max("n_words").alias("n_words"), spans.alias("spans"),
+    grouped = both.groupBy("n").agg(F.first("row").alias("row"), F.max("n_words").alias("n_words"), spans.alias("spans"),
                                       F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
     def join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
