@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalgrove.catalog import ContractError
+from fiscalgrove.catalog import Catalogue, ContractError
+from fiscalgrove.functions.scalars import code_map
 from fiscalgrove.operators.columns import add_constants, field_pairs, require_columns, typed_null
 
 
@@ -85,6 +86,11 @@ def own_shuffle(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns({k: veiled(k) for k in keys})
 
 
+def ancestor_id(path: Column | str, reg: Column) -> Column:
+    """Row id of the nearest ancestor of a record type in an ancestor path; NULL if there is none."""
+    return F.try_element_at(F.filter(path, lambda a: a["reg"] == reg), F.lit(1))["id"]
+
+
 def text_key(c: str) -> Column:
     return F.trim(F.col(c).cast("string"))
 
@@ -100,6 +106,60 @@ def inherit_fields(child: DataFrame, parent: DataFrame, fields: Sequence[str], *
     return child.join(source, hit, "left").drop("_in_file", "_in_id")
 
 
+def inheritance_rules(spec: Mapping[str, Mapping | Sequence[Mapping]], catalogue: Catalogue) -> dict[str, list[tuple[str, dict[str, str]]]]:
+    """``{record type: {from, fields} or a list of these}`` -> record type -> [(ancestor type, {field of it: column})].
+
+    Fields are names or ``{field: column}``. A field that the ancestor's layout does not have, and a column that the record
+    type has itself or gets twice, are errors.
+    """
+    out: dict[str, list[tuple[str, dict[str, str]]]] = {}
+    for reg, given in spec.items():
+        own, taken = set(catalogue[reg].fields) if reg in catalogue else set(), set()
+        for rule in [given] if isinstance(given, Mapping) else given:
+            source, pairs = rule["from"], dict(field_pairs(rule["fields"]))
+            if source not in catalogue:
+                raise ContractError(f"{reg}: no layout of {source} to inherit from")
+            unknown = sorted(set(pairs) - set(catalogue[source].fields))
+            clash = sorted(c for c in pairs.values() if c in own or c in taken or list(pairs.values()).count(c) > 1)
+            if unknown or clash:
+                raise ContractError(f"{reg} from {source}: unknown fields {unknown}, columns it has already {clash}")
+            taken.update(pairs.values())
+            out.setdefault(reg, []).append((source, pairs))
+    return out
+
+
+def inherit_by_map(wide: DataFrame, lines: DataFrame, spec: Mapping[str, Mapping | Sequence[Mapping]], catalogue: Catalogue, *,
+                   path_col: str, file_col: str = "_source_file", id_col: str = "_row_id") -> DataFrame:
+    """Fill columns of descendants with fields of their nearest ancestor of the named type, over any number of levels.
+
+    wide: named columns and the ancestor paths of ``tree.link_parents``. lines: the same lines with ``cols``; only the ancestors' rows
+    and fields are read of them. Record types that inherit from one type each need one join in all, types that inherit from
+    k types k joins. A line without such an ancestor keeps NULL.
+    """
+    rules = inheritance_rules(spec, catalogue)
+    out = wide
+    for turn in range(max(map(len, rules.values()), default=0)):
+        now = {reg: found[turn] for reg, found in rules.items() if len(found) > turn}
+        needed: dict[str, set[str]] = {}
+        for source, pairs in now.values():
+            needed.setdefault(source, set()).update(pairs)
+        names = sorted({n for fields in needed.values() for n in fields})
+        values = [reduce(lambda at, reg: at.when(F.col("REG") == reg, F.get("cols", F.lit(catalogue[reg].positions()[n]))), sorted(r for r in needed if n in needed[r]), F).alias(n) for n in names]
+        ancestors = lines.filter(F.col("REG").isin(sorted(needed))).select(
+            F.col(file_col).alias("_in_file"), F.col(id_col).cast("long").alias("_in_id"), F.struct(*values).alias("_in_row"))
+        wanted = F.try_element_at(code_map({reg: source for reg, (source, _) in now.items()}), F.col("REG"))
+        # a line that asks for nothing gets a key of its own that matches nothing, so such lines do not pile up
+        key = F.coalesce(ancestor_id(path_col, wanted), -1 - F.col(id_col).cast("long"))
+        joined = out.withColumn("_in_key", key).join(ancestors, (F.col(file_col) == F.col("_in_file")) & (F.col("_in_key") == F.col("_in_id")), "left")
+        columns: dict[str, Column] = {}
+        for reg, (_, pairs) in sorted(now.items()):
+            for field, column in pairs.items():
+                before = columns.get(column, F.col(column) if column in out.columns else typed_null())
+                columns[column] = F.when(F.col("REG") == reg, F.col("_in_row")[field]).otherwise(before)
+        out = joined.withColumns(columns).drop("_in_key", "_in_file", "_in_id", "_in_row")
+    return out
+
+
 def roll_up_children(child: DataFrame, keys: str | Sequence[str], fields, how: str = "first",
                      order_by: Sequence[str] = ("_row_id",)) -> DataFrame:
     """One row per parent: first non-NULL value in line order, or all values as an array."""

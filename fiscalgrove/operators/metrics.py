@@ -99,7 +99,7 @@ def regime_profile(df: DataFrame, rules: Mapping = REGIME_RULES) -> DataFrame:
     The windows run over periods, not over declaration rows, and are joined back, so any
     number of rows may share a period.
     """
-    real, presumed = rules["real"], rules["presumed"]
+    presumed = rules["presumed"]
     code = F.col("FORMA_TRIB_PER")
     periods = df.groupBy(*KEYS).agg(
         F.max("FORMA_TRIB_PER").alias("_code"),
@@ -108,18 +108,22 @@ def regime_profile(df: DataFrame, rules: Mapping = REGIME_RULES) -> DataFrame:
     windows = periods.select(
         *KEYS, F.lag("_code", 1).over(by_company()).alias("_before"),
         F.sum("_n").over(w).alias("anos_consecutivos_lp"))
-    years = rules["no_go_presumed_years"]
-    return (
-        df.join(windows, KEYS, "left")
-        .withColumns({
-            "regime_descricao": label(code, {r["code"]: r["description"] for r in (real, presumed)}),
-            "regime_score_pts": F.when(code == real["code"], real["points"])
-            .when(code == presumed["code"], presumed["points"]).otherwise(0),
-            "regime_alternado": code != F.col("_before"),
-            "is_lucro_presumido": code == presumed["code"],
-            "regime_no_go_presumido": F.col("anos_consecutivos_lp") >= years,
-            "is_lucro_real": code == real["code"],
-        }).drop("_before"))
+    return with_regime_labels(df.join(windows, KEYS, "left"), rules)
+
+
+def with_regime_labels(df: DataFrame, rules: Mapping = REGIME_RULES) -> DataFrame:
+    """Label, points and flags from ``FORMA_TRIB_PER``, ``anos_consecutivos_lp`` and the regime of the period before (``_before``, which goes)."""
+    real, presumed = rules["real"], rules["presumed"]
+    code = F.col("FORMA_TRIB_PER")
+    return df.withColumns({
+        "regime_descricao": label(code, {r["code"]: r["description"] for r in (real, presumed)}),
+        "regime_score_pts": F.when(code == real["code"], real["points"])
+        .when(code == presumed["code"], presumed["points"]).otherwise(0),
+        "regime_alternado": code != F.col("_before"),
+        "is_lucro_presumido": code == presumed["code"],
+        "regime_no_go_presumido": F.col("anos_consecutivos_lp") >= rules["no_go_presumed_years"],
+        "is_lucro_real": code == real["code"],
+    }).drop("_before")
 
 
 # ---------------------------------------------------- accounting, fiscal, equity

@@ -13,6 +13,9 @@ cut into chunks of neighbouring lines:
 * one running maximum over lines and marks gives the parent id.
 
 The wide rows are shuffled once, and no group is larger than a chunk.
+
+Marks may also carry the ancestors of the parent they stand for. Only lines of parent types are linked
+upwards for that, on three narrow columns, so the wide rows get their whole ancestor path from the same shuffle.
 """
 
 from __future__ import annotations
@@ -22,26 +25,33 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fiscalgrove.catalog import parent_rules
+from fiscalgrove.catalog import ContractError, parent_rules
 from fiscalgrove.functions.scalars import code_map
 from fiscalgrove.operators.lookup import own_shuffle
 from fiscalgrove.sources.records import CHUNK_BITS
 
 
+#: an ancestor path: record type and row id of the parent, its parent, and so on up to a root
+PATH = "array<struct<reg:string,id:bigint>>"
+
+
 def link_parents(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_source_file",
                  id_col: str = "_row_id", reg_col: str = "REG", root: str = "0000",
-                 chunk_bits: int = CHUNK_BITS) -> DataFrame:
-    """Add ``_expected_parent`` (record type) and ``_parent_uid_final`` (row id).
+                 chunk_bits: int = CHUNK_BITS, path_col: str | None = None) -> DataFrame:
+    """Add ``_expected_parent`` (record type) and ``_parent_uid_final`` (row id), and with ``path_col``
+    the line's ancestors from the parent up to a root (empty for a line without any).
 
     ``id_col`` is a non-negative long that follows line order inside a file; parents'
     ids are unique there. The input is scanned three times (twice on three columns
-    only), so pass a stored table or a checkpoint rather than a long plan.
+    only; more often on these for paths), so pass a stored table or a checkpoint rather than a long plan.
     """
+    rules = list(rules)
     parent_of, to_root = parent_rules(rules)
     wants = {**parent_of, **{reg: root for reg in to_root}}
     if not wants:
+        none = {path_col: F.array().cast(PATH)} if path_col else {}
         return df.withColumns({"_expected_parent": F.lit(None).cast("string"),
-                               "_parent_uid_final": F.lit(None).cast("long")})
+                               "_parent_uid_final": F.lit(None).cast("long"), **none})
     keys = sorted(set(wants.values()))
     key = ["_t_file", "_t_chunk", "_t_want"]
 
@@ -49,17 +59,25 @@ def link_parents(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_s
     want = F.try_element_at(code_map(wants), reg)
     chunk = F.shiftright(rid, chunk_bits)
     narrow = df.select(F.col(file_col).alias("_t_file"), rid.alias("_t_id"), reg.alias("_t_reg"))
-
-    marks = (narrow.filter(F.col("_t_reg").isin(sorted({*keys, root})))
-             .select("_t_file", F.shiftright("_t_id", chunk_bits).alias("_t_chunk"), "_t_id",
-                     F.inline(_marks(F.col("_t_reg"), F.col("_t_id"), keys, root))))
+    parents = narrow.filter(F.col("_t_reg").isin(sorted({*keys, root})))
+    if path_col:
+        parents = _with_paths(parents, rules, root, chunk_bits)
+        # the greatest id is the last parent; ids are unique, so the path behind it decides nothing
+        value = F.struct(F.col("_t_id").alias("id"), F.concat(F.array(F.struct(F.col("_t_reg").alias("reg"), F.col("_t_id").alias("id"))), F.col("_t_path")).alias("path"))
+        kind = f"struct<id:bigint,path:{PATH}>"
+    else:
+        value, kind = F.col("_t_id"), "long"
+
+    marks = (parents.select("_t_file", F.shiftright("_t_id", chunk_bits).alias("_t_chunk"), "_t_id",
+                            F.inline(_marks(F.col("_t_reg"), value, kind, keys, root))))
     lines = df.select(F.col(file_col).alias("_t_file"), chunk.alias("_t_chunk"),
                       rid.alias("_t_id"), want.alias("_t_want"),
-                      F.lit(None).cast("long").alias("_t_def"),
-                      F.lit(None).cast("long").alias("_t_root"),
+                      F.lit(None).cast(kind).alias("_t_def"),
+                      F.lit(None).cast(kind).alias("_t_root"),
                       F.struct(*df.columns).alias("_t_line"))
-
-    carried = _carry(narrow, wants, keys, root, chunk_bits)
+    asked = narrow.select("_t_file", F.shiftright("_t_id", chunk_bits).alias("_t_chunk"), F.try_element_at(code_map(wants), "_t_reg").alias("_t_want"),
+                          F.lit(None).cast(kind).alias("_t_def"), F.lit(None).cast(kind).alias("_t_root"))
+    carried = _carry(asked.unionByName(marks.drop("_t_id")), chunk_bits)
     narrow_marks = marks.unionByName(carried).withColumn(
         "_t_line", F.lit(None).cast(lines.schema["_t_line"].dataType))
 
@@ -67,39 +85,32 @@ def link_parents(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_s
     before = (Window.partitionBy(*key)
               .orderBy("_t_id", F.col("_t_line").isNull())
               .rowsBetween(Window.unboundedPreceding, -1))
-    linked = lines.unionByName(narrow_marks).withColumn(
-        "_parent_uid_final",
-        F.coalesce(F.max("_t_def").over(before), F.max("_t_root").over(before)))
-    out = linked.filter(F.col("_t_line").isNotNull()).select("_t_line.*", "_parent_uid_final")
+    found = F.coalesce(F.max("_t_def").over(before), F.max("_t_root").over(before))
+    linked = lines.unionByName(narrow_marks).withColumn("_t_found", found)
+    of_line = [F.col("_t_found")["id"].alias("_parent_uid_final"), F.coalesce(F.col("_t_found")["path"], F.array().cast(PATH)).alias(path_col)] if path_col \
+        else [F.col("_t_found").alias("_parent_uid_final")]
+    out = linked.filter(F.col("_t_line").isNotNull()).select("_t_line.*", *of_line)
     expected = F.try_element_at(code_map(parent_of), reg) if parent_of \
         else F.lit(None).cast("string")
     return out.withColumn("_expected_parent", expected)
 
 
-def _marks(reg: Column, rid: Column, keys: list[str], root: str) -> Column:
+def _marks(reg: Column, value: Column, kind: str, keys: list[str], root: str) -> Column:
     """Marks one line leaves: itself as a parent, and a root as everybody's fallback."""
-    none = F.lit(None).cast("long")
+    none = F.lit(None).cast(kind)
 
     def mark(k: Column, definite: Column, fallback: Column) -> Column:
         return F.struct(k.alias("_t_want"), definite.alias("_t_def"), fallback.alias("_t_root"))
 
-    as_parent = F.array(mark(reg, rid, none))
-    as_root = F.array(*[mark(F.lit(k), rid if k == root else none, rid) for k in keys])
+    as_parent = F.array(mark(reg, value, none))
+    as_root = F.array(*[mark(F.lit(k), value if k == root else none, value) for k in keys])
     return F.when(reg == root, as_root).otherwise(as_parent)
 
 
-def _carry(narrow: DataFrame, wants: Mapping[str, str], keys: list[str], root: str,
-           chunk_bits: int) -> DataFrame:
-    """One mark per (file, chunk, key) with the last parent and root of earlier chunks."""
-    reg, rid = F.col("_t_reg"), F.col("_t_id")
-    want = F.try_element_at(code_map(wants), reg)
-    none = F.lit(None).cast("long")
-    asked = F.array(F.struct(want.alias("_t_want"), none.alias("_t_def"), none.alias("_t_root")))
-    left = F.when(reg.isin(sorted({*keys, root})), F.concat(asked, _marks(reg, rid, keys, root))) \
-        .otherwise(asked)
+def _carry(left: DataFrame, chunk_bits: int) -> DataFrame:
+    """One mark per (file, chunk, key) with the last parent and root of earlier chunks. ``left``: what lines of a chunk ask for and leave."""
     per_chunk = (
-        narrow.select("_t_file", F.shiftright("_t_id", chunk_bits).alias("_t_chunk"), F.inline(left))
-        .filter(F.col("_t_want").isNotNull())
+        left.filter(F.col("_t_want").isNotNull())
         .groupBy("_t_file", "_t_want", "_t_chunk")
         .agg(F.max("_t_def").alias("_t_def"), F.max("_t_root").alias("_t_root"))
     )
@@ -114,6 +125,37 @@ def _carry(narrow: DataFrame, wants: Mapping[str, str], keys: list[str], root: s
     )
 
 
+def levels_above(rules: Iterable[Mapping], root: str = "0000") -> int:
+    """Most ancestors that a line of a parent type can have. Types that are their own ancestors are an error: paths would have no end."""
+    parent_of, to_root = parent_rules(rules)
+    wants = {**parent_of, **{reg: root for reg in to_root}}
+    deepest = 0
+    for reg in set(wants.values()):
+        seen = [reg]
+        while (reg := wants.get(reg, root if reg != root else None)) is not None:
+            if reg in seen:
+                raise ContractError(f"parent rules go in a circle: {' < '.join([*seen, reg])}")
+            seen.append(reg)
+        deepest = max(deepest, len(seen) - 1)
+    return deepest
+
+
+def _with_paths(parents: DataFrame, rules: list[Mapping], root: str, chunk_bits: int) -> DataFrame:
+    """parents: ``_t_file, _t_id, _t_reg`` of all lines of parent types. With ``_t_path``, their own ancestors.
+
+    The parents of parents are found like those of lines; then one equi join per level follows them up. Every level joins
+    the same narrow table, so it is shuffled once and reused.
+    """
+    linked = link_parents(parents, rules, file_col="_t_file", id_col="_t_id", reg_col="_t_reg", root=root, chunk_bits=chunk_bits)
+    above = linked.select(F.col("_t_file").alias("_a_file"), F.col("_t_id").alias("_a_id"), F.col("_t_reg").alias("_a_reg"), F.col("_parent_uid_final").alias("_a_next"))
+    out = linked.select("_t_file", "_t_id", "_t_reg", F.array().cast(PATH).alias("_t_path"), F.col("_parent_uid_final").alias("_t_next"))
+    for _ in range(levels_above(rules, root)):
+        hit = (F.col("_t_file") == F.col("_a_file")) & (F.col("_t_next") == F.col("_a_id"))
+        step = F.when(F.col("_a_id").isNotNull(), F.array(F.struct(F.col("_a_reg").alias("reg"), F.col("_a_id").alias("id")))).otherwise(F.array())
+        out = out.join(above, hit, "left").select("_t_file", "_t_id", "_t_reg", F.concat("_t_path", step).cast(PATH).alias("_t_path"), F.col("_a_next").alias("_t_next"))
+    return out.drop("_t_next")
+
+
 def misplaced_lines(linked: DataFrame, *, file_col: str = "_source_file", id_col: str = "_row_id",
                     reg_col: str = "REG") -> DataFrame:
     """Lines whose parent is not of the record type their rule names (quality report)."""

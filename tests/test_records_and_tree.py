@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from fiscalgrove.catalog import EFD_FISCAL, ContractError, Layout, catalogue_from_mapping, catalogues_from_rows, \
     check_layout, layout_from_positions
 from fiscalgrove.operators.columns import project_record, project_superset, union_superset
+from fiscalgrove.operators.lookup import inherit_by_map
 from fiscalgrove.operators.tree import header_of_files, link_parents, misplaced_lines, propagate_header
-from fiscalgrove.sources.records import number_lines, parse_records, read_lines, with_file_fields
+from fiscalgrove.sources.records import number_lines, parse_records, read_lines, tag_records, with_cols, with_file_fields
 from tests.conftest import rows
 
 RULES = [{"parent": "0000", "children": ["C100"]}, {"parent": "C100", "children": ["C170", "C190"]}]
@@ -69,6 +70,46 @@ def test_tree_matches_brute_force_across_chunks(spark, chunk_bits):
     assert got == brute_force(lines, rules, {"G"})
 
 
+@pytest.mark.parametrize("chunk_bits", [1, 3, 18])
+def test_ancestor_paths_across_chunks(spark, chunk_bits):
+    rnd = random.Random(8)
+    rules = [{"parent": "0000", "children": ["A", "B"]}, {"parent": "A", "children": ["C", "D"]},
+             {"parent": "C", "children": ["E"]}, {"parent": "E", "children": ["F"], "children_override": ["G"]}]
+    lines = []
+    for f in range(4):
+        regs = ["0000"] * (f != 2) + rnd.choices(["A", "B", "C", "D", "E", "F", "G", "Z", "0000"], [3, 2, 4, 6, 4, 9, 1, 1, .3], k=[0, 5, 60, 900][f])
+        lines += [(f"f{f}", i * 2, r) for i, r in enumerate(regs)]
+    parent, kind = brute_force(lines, rules, {"G"}), {(f, i): r for f, i, r in lines}
+
+    def path(f, i):
+        up = parent[f, i]
+        return [] if up is None else [(kind[f, up], up), *path(f, up)]
+
+    df = spark.createDataFrame(lines, "_source_file string, _row_id long, REG string")
+    out = link_parents(df, rules, chunk_bits=chunk_bits, path_col="up").collect()
+    assert {(r["_source_file"], r["_row_id"]): [tuple(a) for a in r["up"]] for r in out} == {(f, i): path(f, i) for f, i, _ in lines}
+    assert {(r["_source_file"], r["_row_id"]): r["_parent_uid_final"] for r in out} == parent
+    with pytest.raises(ContractError):
+        link_parents(df, [*rules, {"parent": "E", "children": ["A"]}], path_col="up")
+
+
+def test_inheritance_over_levels(spark):
+    """Nearest ancestor of the named type, several rules for a type, none found, wrong maps."""
+    catalogue = catalogue_from_mapping({"0000": "CO", "A": "A1 A2", "B": "B1", "C": "C1"})
+    rules = [{"parent": "0000", "children": ["A"]}, {"parent": "A", "children": ["B"]}, {"parent": "B", "children": ["C"]}]
+    text = ["|C|before|", "|0000|x|", "|C|far|", "|A|a|aa|", "|B|b|", "|C|c|", "|A|a2||", "|C|c2|", "|0000|y|", "|A|a3|a4|"]
+    lines = with_cols(tag_records(spark.createDataFrame([("f", i, t) for i, t in enumerate(text)], "_source_file string, _row_id long, value string")))
+    wide = project_superset(link_parents(lines, rules, path_col="up"), catalogue)
+    out = inherit_by_map(wide, lines, {"C": [{"from": "A", "fields": ["A1", {"A2": "OF_A"}]}, {"from": "0000", "fields": ["CO"]}], "A": {"from": "0000", "fields": ["CO"]}}, catalogue, path_col="up")
+    got = {r["_row_id"]: (r["A1"], r["OF_A"], r["CO"]) for r in out.collect()}
+    # the third C stands after another A, but its parent is the B before it
+    assert got == {0: (None, None, None), 1: (None, None, "x"), 2: (None, None, "x"), 3: ("a", None, "x"), 4: (None, None, None), 5: ("a", "aa", "x"), 6: ("a2", None, "x"), 7: ("a", "aa", "x"),
+                   8: (None, None, "y"), 9: ("a3", None, "y")}
+    for wrong in ({"C": {"from": "A", "fields": ["NO"]}}, {"C": {"from": "Z", "fields": []}}, {"A": {"from": "0000", "fields": [{"CO": "A1"}]}}):
+        with pytest.raises(ContractError):
+            inherit_by_map(wide, lines, wrong, catalogue, path_col="up")
+
+
 def test_no_group_of_the_tree_plan_is_a_whole_file(spark):
     df = spark.range(0, 4096).select(F.lit("one").alias("_source_file"), F.col("id").alias("_row_id"),
                                      F.when(F.col("id") == 0, "0000").when(F.col("id") % 7 == 1, "C100")

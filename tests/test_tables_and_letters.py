@@ -84,7 +84,7 @@ def test_replay_verdicts(spark):
     df = spark.createDataFrame(data, "key string, value string")
     assert dict(rows(d.replay_verdicts(df), "key", "verdict")) == {
         "good": "replay", "no topic": "incomplete", "no value": "incomplete", "long": "truncated", "accents": "replay", "broken": "invalid_json", "unreadable": "unreadable", "other": "replay"}
-    assert rows(d.replayable(d.replay_verdicts(df, stream="s", return_type="ECF", status="F", failed_at="t")), "key", "topic") == [("good", "t")]
+    assert rows(d.replayable(d.replay_verdicts(df, stream="s", return_type="ECF", status="F", failed_at="t")), "key", "topic") == [("accents", "t"), ("good", "t")]
     assert d.replay_verdicts(df, failed_at="later").count() == 0
 
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscalgrove import functions as fx
-from fiscalgrove.catalog import Layout
+from fiscalgrove.catalog import Layout, catalogue_from_mapping
 from fiscalgrove.functions.scalars import DOCUMENT_STATUS, TAX_REGIMES
 from fiscalgrove.operators.columns import order_columns, project_record, project_superset
+from fiscalgrove.operators.lookup import inherit_by_map
 from fiscalgrove.operators.tree import header_of_files, link_parents, misplaced_lines, propagate_header
 from fiscalgrove.operators.version import latest_version, resolve_amended_headers, resolve_amended_names
 from fiscalgrove.session import scratch_dir
-from fiscalgrove.sources.records import discover_periods, number_lines, parse_records, read_lines, tag_records
+from fiscalgrove.sources.records import discover_periods, number_lines, parse_records, read_lines, tag_records, with_cols
 from workbench.derive import CATALOGUE, RULES, br_text, pipe, record_lines, stored, table
 
 
@@ -267,6 +271,53 @@ SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_cus
   ORDER BY (o_orderstatus='F') DESC, strftime(o_orderdate,'%Y%m%d') DESC, o_orderkey DESC) AS r FROM orders WHERE o_orderpriority <> '5-LOW') WHERE r = 1"""
 
 
+_DEEP = catalogue_from_mapping({"0000": "CNPJ NOME", "0150": "COD_PART PARTICIPANTE SEGMENTO", "C100": "NUM_DOC COD_SIT DT_DOC", "C170": "NUM_ITEM COD_ITEM"})
+_DEEP_RULES = [{"parent": "0000", "children": ["0150"]}, {"parent": "0150", "children": ["C100"]}, {"parent": "C100", "children": ["C170"]}]
+_INHERITED = {
+    "0150": {"from": "0000", "fields": ["NOME"]},
+    "C100": [{"from": "0150", "fields": ["COD_PART", "SEGMENTO"]}, {"from": "0000", "fields": [{"NOME": "EMITENTE"}]}],
+    "C170": [{"from": "C100", "fields": ["NUM_DOC", {"DT_DOC": "DT_NOTA"}]}, {"from": "0150", "fields": ["PARTICIPANTE"]}, {"from": "0000", "fields": ["CNPJ"]}],
+}
+
+
+def _deep_lines(spark, sf):
+    """A file per nation: header, its customers, each with its orders, each with its items. Files are few and large."""
+    nations, customers, orders = (table(spark, sf, n) for n in ("nation", "customer", "orders"))
+    at = lambda cust, order=None, item=0: (F.col(cust) + 1) * (1 << 40) + ((F.col(order) + 1) * 16 if order else 0) + item
+    docs = orders.join(customers.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    items = table(spark, sf, "lineitem").join(docs, F.col("l_orderkey") == F.col("o_orderkey"))
+    parts = [
+        nations.select(F.col("n_nationkey").alias("f"), F.lit(0).cast("long").alias("_row_id"), pipe(F.lit("0000"), F.lpad(F.col("n_nationkey").cast("string"), 14, "0"), F.col("n_name")).alias("value")),
+        customers.select("c_nationkey", at("c_custkey"), pipe(F.lit("0150"), F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment"))),
+        docs.select("c_nationkey", at("c_custkey", "o_orderkey"), pipe(F.lit("C100"), F.col("o_orderkey"), F.col("o_orderstatus"), F.date_format("o_orderdate", "ddMMyyyy"))),
+        items.select("c_nationkey", at("c_custkey", "o_orderkey", F.col("l_linenumber")), pipe(F.lit("C170"), F.col("l_linenumber"), F.col("l_partkey"))),
+    ]
+    return reduce(DataFrame.union, parts).select(F.col("f").cast("string").alias("_source_file"), "_row_id", "value")
+
+
+def inherited_map(spark, sf):
+    """Four levels of lines; each takes fields of its parent, grandparent and header, by a map."""
+    bronze = stored(tag_records(_deep_lines(spark, sf)), "deep")
+    linked = link_parents(bronze, _DEEP_RULES, path_col="_ancestors")
+    wide = project_superset(with_cols(linked), _DEEP)
+    out = inherit_by_map(wide, with_cols(bronze), _INHERITED, _DEEP, path_col="_ancestors")
+    return out.select(F.col("_source_file").cast("long").alias("file"), F.col("_row_id").alias("line"), "REG", F.size("_ancestors").alias("levels"),
+                      F.array_join(F.transform("_ancestors", lambda a: F.concat(a["reg"], F.lit(":"), a["id"])), " ").alias("path"),
+                      "CNPJ", "NOME", "EMITENTE", "COD_PART", "PARTICIPANTE", "SEGMENTO", "NUM_DOC", "COD_SIT", "DT_NOTA", "COD_ITEM")
+
+
+INHERITED_SQL = """WITH h AS (SELECT n_nationkey AS n, lpad(CAST(n_nationkey AS VARCHAR),14,'0') AS cnpj, n_name FROM nation),
+c AS (SELECT c_nationkey AS n, (c_custkey + 1) * 1099511627776 AS line, c_custkey, c_name, c_mktsegment AS seg FROM customer),
+o AS (SELECT n, line + (o_orderkey + 1) * 16 AS line, line AS up, CAST(c_custkey AS VARCHAR) AS part, c_name, seg, o_orderkey, CAST(o_orderkey AS VARCHAR) AS doc, o_orderstatus AS sit,
+  strftime(o_orderdate, '%d%m%Y') AS dt FROM orders JOIN c ON c_custkey = o_custkey)
+SELECT n AS file, 0::BIGINT AS line, '0000' AS "REG", 0 AS levels, '' AS path, cnpj AS "CNPJ", n_name AS "NOME", NULL::VARCHAR AS "EMITENTE", NULL::VARCHAR AS "COD_PART", NULL::VARCHAR AS "PARTICIPANTE",
+  NULL::VARCHAR AS "SEGMENTO", NULL::VARCHAR AS "NUM_DOC", NULL::VARCHAR AS "COD_SIT", NULL::VARCHAR AS "DT_NOTA", NULL::VARCHAR AS "COD_ITEM" FROM h
+UNION ALL SELECT n, line, '0150', 1, '0000:0', NULL, n_name, NULL, CAST(c_custkey AS VARCHAR), c_name, seg, NULL, NULL, NULL, NULL FROM c JOIN h USING (n)
+UNION ALL SELECT n, line, 'C100', 2, '0150:' || up || ' 0000:0', NULL, NULL, n_name, part, NULL, seg, doc, sit, NULL, NULL FROM o JOIN h USING (n)
+UNION ALL SELECT n, line + l_linenumber, 'C170', 3, 'C100:' || line || ' 0150:' || up || ' 0000:0', cnpj, NULL, NULL, NULL, c_name, NULL, doc, NULL, dt, CAST(l_partkey AS VARCHAR)
+  FROM lineitem JOIN o ON l_orderkey = o_orderkey JOIN h USING (n)"""
+
+
 def column_policies(spark, sf):
     """Listed columns first (missing ones as NULL), then the others."""
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
@@ -284,4 +335,5 @@ QUERIES = {
     "classify_files": (classify_files, CLASSIFY_SQL), "discover_periods": (discover, DISCOVER_SQL),
     "latest_version": (latest_versions, LATEST_SQL), "amended_by_name": (amended_names, AMENDED_SQL),
     "amended_by_header": (amended_headers, AMENDED_HEADER_SQL), "column_policies": (column_policies, POLICY_SQL),
+    "inherited_map": (inherited_map, INHERITED_SQL),
 }
