@@ -102,3 +102,25 @@ def test_arrivals_and_recovery(spark):
     assert rows(d.arrivals(df, bucket="b"), "file_name", "cnpj", "periodo") == [("a.txt", "11", "2023"), ("b.txt", None, None)]
     stored = spark.createDataFrame([("a.txt", "s3a://x/TO_CONVERT/1/ECF/2023/a.txt", "ECF")] * 3, "_file_id string, _source_file string, _sped_type string")
     assert rows(d.lost_handoffs(stored)) == [("a.txt", "ECF", "TO_CONVERT/1/ECF/2023/a.txt", "PROCESSED_BRONZE")]
+
+
+def test_release_sends_once(spark, tmp_path):
+    """Reruns send nothing twice; a release that died before it sent is finished; equal letters are one; NULL parts are kept apart."""
+    at = lambda s: F.timestamp_seconds(F.lit(1_700_000_000 + s))
+    letters = spark.createDataFrame([("t", "a", "1", 0), ("t", "a", "1", 0), ("t", None, "1", 0), ("t", "null", "1", 0), ("u", "b", "2", 3)],
+                                    "original_topic string, original_key string, original_value string, retry_count int").withColumn("error_message", F.lit("e"))
+    routed, claims, out = d.route_retries(letters, at(0)), str(tmp_path / "claims"), []
+
+    def send(df, topic):
+        out.extend((topic, r["key"]) for r in df.collect())
+
+    def dies(df, topic):
+        raise RuntimeError("no broker")
+
+    assert d.release_due(routed, at(0), claims, send) == 0
+    with pytest.raises(RuntimeError):
+        d.release_due(routed, at(2), claims, dies)
+    assert d.release_due(routed, at(2), claims, send) == 3
+    assert d.release_due(routed, at(2), claims, send) == 0
+    assert d.release_due(routed, at(60), claims, send) == 1
+    assert sorted(out, key=repr) == [("t", "a"), ("t", "null"), ("t", None), ("u", "b")]
