@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscalgrove.operators import metrics as m
@@ -9,7 +12,9 @@ from fiscalgrove.operators.audit import within_last_years
 from fiscalgrove.operators.columns import anchored_nulls
 from fiscalgrove.operators.score import opportunity_rows, viability
 from fiscalgrove.operators.version import merge_history
-from fiscalgrove.plans.diagnostic import diagnose, tributary_summary
+from fiscalgrove.plans.diagnostic import diagnose, store, tributary_summary
+from fiscalgrove.session import scratch_dir
+from fiscalgrove.sources.tables import DIAGNOSTIC_TABLES, read_table
 from workbench.derive import annual_sources, stored, table, yearly_orders
 
 K = ["CNPJ", "DT_INI"]
@@ -227,6 +232,13 @@ via AS (SELECT s.*, coalesce(er,0.0) AS er, greatest(0.0,least(100.0,final_score
 VIA_SQL = f"""WITH {_ALL}, {_OPPS}, {_VIA} SELECT "CNPJ","DT_INI",round(CAST(er AS DOUBLE),8) AS estimated_recovery,round(CAST(cvi AS DOUBLE),8) AS commercial_viability_index FROM via"""
 
 
+_STORED = {"summary": ("cvi", "go_no_go"), "scores": ("raw_score", "classification"), "go_no_go": ("NULL", "commercial_priority"), "financials": ("resultado_fiscal", "NULL"),
+           "master": ("score_l300_total+score_m310_total", '"FORMA_TRIB_PER"'), "master_historical": ("final_score", "cnpj_base")}
+STORED_SQL = f"WITH {_ALL}, {_OPPS}, {_VIA} " + " UNION ALL ".join(
+    f"""SELECT '{n}' AS name,"CNPJ","DT_INI",round(CAST({v} AS DOUBLE),4) AS v,CAST({t} AS VARCHAR) AS t FROM via""" for n, (v, t) in _STORED.items()) + """
+ UNION ALL SELECT 'opportunities',"CNPJ","DT_INI",round(estimated_credit,4),opportunity_id FROM opps"""
+
+
 def tax_ratio_query(spark, sf):
     """Effective tax rate and payments over accounting result (positive denominators only)."""
     return money(_scored(spark, sf)[0].select(*K, "effective_tax_rate", "darf_contabil_ratio"), "effective_tax_rate", "darf_contabil_ratio", digits=6)
@@ -250,12 +262,31 @@ def summary_projection(spark, sf):
     """The 20 labelled columns (here under plain names), masks and labels applied."""
     s = tributary_summary(_scored(spark, sf)[0], last_years=5, this_year=2001)
     plain = s.toDF(*[f"c{i:02d}" for i in range(len(s.columns))])
-    return money(plain.select("c00", "c01", "c02", "c03", "c04", "c05", "c06", "c09", "c13"), "c06", "c13", digits=2)
+    return money(plain, "c06", "c07", "c08", *[f"c{i}" for i in range(13, 20)], digits=2)
 
 
 SUMMARY_SQL = f"""WITH {_ALL} SELECT "NOME" AS c00, substr("CNPJ",1,2)||'.'||substr("CNPJ",3,3)||'.'||substr("CNPJ",6,3)||'/'||substr("CNPJ",9,4)||'-'||substr("CNPJ",13,2) AS c01,
  CAST(y AS VARCHAR) AS c02, CASE "FORMA_TRIB_PER" WHEN 'RRRR' THEN 'Lucro Real' WHEN 'P' THEN 'Lucro Presumido' ELSE "FORMA_TRIB_PER" END AS c03, patrimonio_liquido AS c04,
- resultado_contabil AS c05, resultado_fiscal AS c06, CAST(NULL AS DOUBLE) AS c09, opp_l300_pat_valor AS c13 FROM s WHERE y >= 1996"""
+ resultado_contabil AS c05, resultado_fiscal AS c06, round(ir,2) AS c07, round(csll,2) AS c08, {", ".join(f"CAST(NULL AS DOUBLE) AS c{i:02d}" for i in range(9, 13))},
+ {", ".join(f"opp_{f}_{k}_valor AS c{i}" for i, (f, k) in enumerate([("l300", x[0]) for x in _L3] + [("m310", x[0]) for x in _M3], 13))} FROM s WHERE y >= 1996"""
+
+
+def diagnosis_stored(spark, sf):
+    """The diagnosis of all companies stored in its seven tables, those of the first half once more; what each table holds."""
+    base = scratch_dir(spark, "diagnosis")
+    sources = annual_sources(spark, sf)
+    final, found = (stored(df, "diagnosed") for df in diagnose(sources))
+    early = lambda df: df.filter(F.substring("DT_INI", 5, 4).cast("int") < 1997)
+    store(spark, base, final, found)
+    store(spark, base, early(final), early(found))
+    shown = {"summary": ("commercial_viability_index", "go_no_go"), "scores": ("raw_score", "classification"), "go_no_go": (None, "commercial_priority"), "financials": ("resultado_fiscal", None),
+             "opportunities": ("estimated_credit", "opportunity_id"), "master": ("total_opportunity_score", "FORMA_TRIB_PER"), "master_historical": ("final_score", "cnpj_base")}
+    parts = [read_table(spark, f"{base}/{DIAGNOSTIC_TABLES[name]}").select(
+        F.lit(name).alias("name"), "CNPJ", "DT_INI", (F.col(v).cast("double") if v else F.lit(None).cast("double")).alias("v"), (F.col(t) if t else F.lit(None).cast("string")).alias("t"))
+        for name, (v, t) in shown.items()]
+    return money(reduce(DataFrame.unionByName, parts), "v", digits=4)
+
+
 
 
 def history_merge(spark, sf):
@@ -288,5 +319,6 @@ QUERIES = {
     "consolidate_anchor": (consolidate_anchor, CONS_SQL), "scorecard": (scorecard_query, SCORE_SQL),
     "opportunity_rows": (opportunities, OPP_SQL), "viability": (viability_query, VIA_SQL), "tax_ratios": (tax_ratio_query, RATIO_SQL),
     "diagnosis_absent_sources": (diagnosis_absent_sources, ABSENT_SQL), "tributary_summary": (summary_projection, SUMMARY_SQL),
+    "diagnosis_stored": (diagnosis_stored, STORED_SQL),
     "history_merge": (history_merge, HIST_SQL), "last_years": (last_years, LAST_SQL),
 }
