@@ -149,9 +149,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     v = words.agg(F.sum("n")).first()[0] or 0
     # pairs are at most as many as tokens; about half of them repeat within a block
     pairs = exchange(published(blocks, lambda r: Block(r).pair_keys(), parts_for((sizes[1] or 0) // 2)), ["<i4"], _totals)
+    # joined anew by both jobs that read it: a stored copy of all blocks and facts would take more disk than the shuffles do
     known = blocks.join(gathered(words, "single"), F.col("block") == F.col("single_block"), "left").join(
         gathered(stored(pairs, "lm-pairs"), "pair"), F.col("block") == F.col("pair_block"), "left").drop("single_block", "pair_block")
-    known = stored(known, "lm-known")
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
         for batch in batches:
