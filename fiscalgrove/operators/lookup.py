@@ -11,13 +11,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fiscalgrove.catalog import Catalogue, ContractError
 from fiscalgrove.functions.scalars import code_map
 from fiscalgrove.operators.columns import add_constants, field_pairs, require_columns, typed_null
 
+#: line numbers that one chunk of rolled-up children spans
+CHUNK_LINES = 100_000
+
 
 def safe_join(left: DataFrame, right: DataFrame | None, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join on named keys; columns the left side has already are dropped from the right.
@@ -181,6 +184,46 @@ def roll_up_children(child: DataFrame, keys: str | Sequence[str], fields, how: s
     return child.groupBy(*keys).agg(*out) if out else child.select(*keys).distinct()
 
 
+def roll_up_chunks(child: DataFrame, keys: str | Sequence[str], fields, *, order_col: str = "_row_id", within: str | None = None,
+                   lines: int = CHUNK_LINES) -> DataFrame:
+    """All children as arrays, one row per parent and ``chunk``, so that no parent's array has to fit one task.
+
+    A chunk is an interval of ``lines`` line numbers. Numbers are unique inside a file, so an array holds at most that many
+    values whatever a parent has (equal numbers are ordered by value); ``within`` adds the file to the groups where the keys do not tell files apart. Arrays keep
+    line order and leave out NULL values; put together in order of ``within`` and ``chunk`` they are the array of ``roll_up_children``.
+    Chunk numbers ascend but skip intervals without children. Rows without a number are in a chunk of their own, NULL.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    place = [*keys, *([within] if within and within not in keys else [])]
+    require_columns(child, [*place, order_col], "child record")
+    if dict(child.dtypes)[order_col] not in ("bigint", "int", "smallint", "tinyint"):
+        raise ContractError(f"{order_col} must be a whole number to cut chunks by")
+    kept = [(source, alias) for source, alias in field_pairs(fields) if source in child.columns]
+    if "chunk" in [*place, *(alias for _, alias in kept)]:
+        raise ContractError("the name chunk is taken by a key or a field")
+    rows = child.select(*place, F.floor(F.col(order_col) / F.lit(lines)).alias("chunk"),
+                        *[F.when(F.col(source).isNotNull(), F.struct(F.col(order_col).alias("at"), F.col(source).alias("value"))).alias(f"_v{i}")
+                          for i, (source, _) in enumerate(kept)])
+    out = [F.transform(F.sort_array(F.collect_list(f"_v{i}")), lambda r: r["value"]).alias(alias) for i, (_, alias) in enumerate(kept)]
+    return rows.groupBy(*place, "chunk").agg(*out) if out else rows.distinct()
+
+
+def numbered_children(chunks: DataFrame, keys: str | Sequence[str], field: str, *, within: str | None = None) -> DataFrame:
+    """One row per value of a rolled-up field, with its ``place`` (from 0) among all values of the parent.
+
+    Only the sizes of chunks are summed up along a parent, one narrow row per chunk; the arrays stay where they are.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    files = [within] if within and within not in keys else []
+    at = [*keys, *files, "chunk"]
+    before = Window.partitionBy(*keys).orderBy(*files, "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = chunks.select(*at, F.size(field).cast("long").alias("n")).select(
+        *[F.col(c).alias(f"_s_{c}") for c in at], F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in at])
+    return chunks.join(starts, same).select(*keys, "_start", F.posexplode(field).alias("_pos", field)).select(
+        *keys, (F.col("_start") + F.col("_pos")).alias("place"), field)
+
+
 def enrich(df: DataFrame, right: DataFrame | None, *, strategy: str, key: Mapping[str, str], fields,
            join_type: str = "left", agg: str = "first", within: str | None = None) -> DataFrame:
     """Join strategies ``file_ref``, ``parent_ref``, ``lookup_ref`` and ``child_agg``.

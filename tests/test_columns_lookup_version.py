@@ -113,6 +113,34 @@ def test_lookup_semantics(spark):
     assert {r[0] for r in rows(kept, "NOME")} == {"mine"} and kept.count() == 5
 
 
+def test_chunked_rollup(spark):
+    many = [("f", 1, n, None if n % 5 == 0 else f"v{n % 7}") for n in range(1000, 0, -1)]
+    child = spark.createDataFrame([*many, ("f", 2, 3, "a"), ("g", 1, 3, "b"), ("g", None, 4, "c"), ("g", 3, 5, None)], "_file_id string, up long, _row_id long, v string").repartition(7)
+    chunks = lk.roll_up_chunks(child, ["_file_id", "up"], [{"v": "vs"}, {"absent": "x"}], lines=64)
+    assert chunks.columns == ["_file_id", "up", "chunk", "vs"] and max(len(r["vs"]) for r in chunks.collect()) <= 64
+    whole = {}
+    for r in sorted(chunks.collect(), key=lambda r: r["chunk"]):
+        whole.setdefault((r["_file_id"], r["up"]), []).extend(r["vs"])
+    assert whole == {(r["_file_id"], r["up"]): r["vs"] for r in lk.roll_up_children(child, ["_file_id", "up"], [{"v": "vs"}], "collect_list").collect()}
+    assert whole["g", 3] == [] and whole["g", None] == ["c"]
+    placed = {}
+    for r in lk.numbered_children(chunks, ["_file_id", "up"], "vs").collect():
+        placed.setdefault((r["_file_id"], r["up"]), {})[r["place"]] = r["vs"]
+    assert {k: [v[i] for i in range(len(v))] for k, v in placed.items()} == {k: v for k, v in whole.items() if v}
+
+
+def test_chunked_rollup_tells_files_apart(spark):
+    child = spark.createDataFrame([(1, f, n, n) for f in "ab" for n in range(10)], "company int, _file_id string, _row_id long, v long")
+    chunks = lk.roll_up_chunks(child, "company", ["v"], within="_file_id", lines=4)
+    assert max(len(r["v"]) for r in chunks.collect()) == 4
+    got = sorted((r["place"], r["v"]) for r in lk.numbered_children(chunks, "company", "v", within="_file_id").collect())
+    assert got == list(enumerate([*range(10), *range(10)]))
+    assert lk.roll_up_chunks(child.limit(0), "company", ["v"]).count() == 0
+    for wrong in (lambda: lk.roll_up_chunks(child, "company", ["v"], order_col="_file_id"), lambda: lk.roll_up_chunks(child, "company", [{"v": "chunk"}])):
+        with pytest.raises(ContractError):
+            wrong()
+
+
 def test_rollup_inherit_enrich(spark):
     child = spark.createDataFrame([("f", 3, 1, None), ("f", 4, 1, "b"), ("f", 2, 1, "c"), ("g", 2, 1, "z")], "_file_id string, _row_id long, up long, v string")
     first = lk.roll_up_children(child, ["_file_id", "up"], ["v"])

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fiscalgrove.operators.lookup import (
-    asof_regime, code_lookup, enrich, inherit_fields, lookup, outer_consolidate, roll_up_children, safe_join, stamp_regime)
+    asof_regime, code_lookup, enrich, inherit_fields, lookup, numbered_children, outer_consolidate, roll_up_children, roll_up_chunks, safe_join, stamp_regime)
 from fiscalgrove.operators.reshape import unpivot_registers
 from fiscalgrove.operators.tree import header_of_files, link_parents, propagate_header
 from fiscalgrove.operators.columns import project_superset
@@ -230,6 +230,18 @@ ROLLUP_SQL = """SELECT o_orderkey, first_part, parts FROM orders LEFT JOIN (SELE
  string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey) AS parts FROM lineitem GROUP BY 1) ON l_orderkey=o_orderkey"""
 
 
+def child_rollup_chunks(spark, sf):
+    """Children as chunked arrays, a third of all lines under one parent; every value with its place among its parent's."""
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(-1).cast("long")).otherwise(F.col("l_orderkey").cast("long"))
+    items = table(spark, sf, "lineitem").select(hot.alias("parent"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("_row_id"), "l_partkey")
+    chunks = roll_up_chunks(items, "parent", [{"l_partkey": "part"}], lines=4096)
+    return numbered_children(chunks, "parent", "part")
+
+
+CHUNKS_SQL = """SELECT parent, row_number() OVER (PARTITION BY parent ORDER BY line, part) - 1 AS place, part FROM
+ (SELECT CASE WHEN l_orderkey % 3 = 0 THEN -1 ELSE l_orderkey END AS parent, l_orderkey * 8 + l_linenumber AS line, l_partkey AS part FROM lineitem)"""
+
+
 def field_inheritance(spark, sf):
     """Document fields copied to item lines."""
     r = star_registers(spark, sf)
@@ -311,7 +323,7 @@ QUERIES = {
     "report_document_grain": (report_document_grain, GRAIN_SQL), "report_same_names": (report_same_names, SAME_SQL), "report_document_union": (report_document_union, DOC_UNION_SQL),
     "report_keyed": (report_keyed, KEYED_SQL), "report_source_union": (report_source_union, SOURCE_UNION_SQL),
     "coalesce_lookup": (coalesce_lookup, COALESCE_SQL), "simple_lookup": (simple_lookup, SIMPLE_SQL),
-    "child_rollup": (child_rollup, ROLLUP_SQL), "field_inheritance": (field_inheritance, INHERIT_SQL),
+    "child_rollup": (child_rollup, ROLLUP_SQL), "child_rollup_chunks": (child_rollup_chunks, CHUNKS_SQL), "field_inheritance": (field_inheritance, INHERIT_SQL),
     "asof_lookup": (asof_lookup, ASOF_SQL), "code_lookup": (code_attributes, CODE_SQL),
     "consolidate_outer": (consolidate_outer, OUTER_SQL), "regime_stamp": (regime_stamp, REGIME_SQL), "unpivot_wide": (unpivot_wide, UNPIVOT_SQL),
 }
