@@ -124,3 +124,12 @@ def test_rebalanced_write_splits_a_large_partition(spark, tmp_path):
 def test_shuffle_settings_grow_with_the_data():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert sized_conf(1 << 30)[key] == "200" and int(sized_conf(100 << 40)[key]) == 819_200
+
+
+def test_chunked_rollup_spreads_a_hot_parent(spark, skewed):
+    with conf(spark, spark__sql__adaptive__enabled=False, spark__sql__shuffle__partitions=16):
+        chunks = lookup.roll_up_chunks(skewed, "_file_id", ["v"], lines=600)
+        assert plan_of(chunks).count("Exchange") == 1
+        hot = chunks.filter("_file_id = 'hot'").select(F.spark_partition_id().alias("task"), F.size("v").alias("n")).collect()
+    assert sum(r["n"] for r in hot) == 20_000 and max(r["n"] for r in hot) <= 600 and len(hot) == 100
+    assert len({r["task"] for r in hot}) > 8
