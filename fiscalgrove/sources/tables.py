@@ -1,10 +1,10 @@
 """Stored tables: optional reads, pruned reads, partitioned writes, replace and upsert.
 
 Tables are Parquet folders by default; ``fmt`` may name any other file format Spark knows.
-Replace and upsert rewrite only the partitions the new rows touch. The merged partitions are
-first staged in a folder beside the table and then swapped in, so a table is never read and
+Replace and upsert read and rewrite only the partitions the new rows touch. The merged partitions are
+first written to a folder beside the table and then moved in, so a table is never read and
 overwritten in one job; if a run dies between the two, the next one finishes the complete
-stage first. A table has one writer at a time.
+commit first. A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -201,18 +201,49 @@ def _swap_in(spark: SparkSession, path: str, stage: str, partition_by: Sequence[
     delete_path(spark, stage)
 
 
+def _folders_below(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Partition folders ``depth`` levels below a folder, relative to it; none if it does not exist."""
+    found = [""]
+    for _ in range(depth):
+        deeper = []
+        for folder in found:
+            fs, p = _fs(spark, f"{root}/{folder}".rstrip("/"))
+            listed = fs.listStatus(p) if fs.exists(p) else []
+            names = [x.getPath().getName() for x in listed if x.isDirectory()]
+            deeper += [f"{folder}/{n}".lstrip("/") for n in names if "=" in n]
+        found = deeper
+    return found
+
+
+def _move_in(spark: SparkSession, path: str, commit: str, partition_by: Sequence[str]) -> None:
+    """Move a complete commit into the table: emptied partitions go, staged folders take the place of the table's.
+
+    It may run again after it died anywhere: a staged folder is there until it has been moved.
+    """
+    for row in spark.read.schema("folder string").parquet(f"{commit}/emptied").toLocalIterator():
+        delete_path(spark, f"{path}/{row['folder']}")
+    for folder in _folders_below(spark, f"{commit}/rows", len(partition_by)):
+        fs, target = _fs(spark, f"{path}/{folder}")
+        _, staged = _fs(spark, f"{commit}/rows/{folder}")
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(staged, target):
+            raise OSError(f"{path}: {folder} could not be moved in; the complete commit stays at {commit}")
+    spark.catalog.refreshByPath(path)
+    delete_path(spark, commit)
+
+
 def finish_pending(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
-    """Swap in a complete stage left by a run that died, drop incomplete ones."""
-    root = _beside(path, "stage")
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return
-    for status in fs.listStatus(p):
-        stage = status.getPath().toString()
-        if path_exists(spark, f"{stage}/_SUCCESS"):
-            _swap_in(spark, path, stage, partition_by)
-        else:
-            delete_path(spark, stage)
+    """Bring in what a run that died left complete, drop what is incomplete."""
+    path = path.rstrip("/")
+    for kind, complete, finish in (("stage", "_SUCCESS", _swap_in), ("commit", "emptied/_SUCCESS", _move_in)):
+        fs, p = _fs(spark, _beside(path, kind))
+        for status in fs.listStatus(p) if fs.exists(p) else []:
+            left = status.getPath().toString()
+            if path_exists(spark, f"{left}/{complete}"):
+                finish(spark, path, left, partition_by)
+            else:
+                delete_path(spark, left)
 
 
 def prune_to(target: DataFrame, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -244,40 +275,122 @@ def drop_partitions(path: str, partitions: DataFrame, partition_by: Sequence[str
 
 def _merge(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Sequence[str],
            matching: DataFrame | None = None, places: DataFrame | None = None) -> None:
-    """Old rows that match a new row give way to it; only touched partitions are rewritten.
+    """Old rows that match a new row give way to it; only touched partitions are listed, read and rewritten.
 
     ``matching`` names the rows to replace where it is more than the new rows' keys. ``places`` says in
-    which partitions (by some of ``partition_by``) rows of these keys lie, so that the target is not searched.
+    which partitions (by the first of ``partition_by``) rows of these keys lie. Without it, they are told by the keys
+    if these have all partition columns, else by the table's key places (``_key_places``).
     """
-    spark = new.sparkSession
+    spark, path = new.sparkSession, path.rstrip("/")
     finish_pending(spark, path, partition_by)
+    keys = (new if matching is None else matching).select(*match_on).distinct()
+    if not partition_by:
+        _merge_plain(new, path, match_on, keys)
+        return
+    if places is None and set(partition_by) <= set(match_on):
+        places = keys.select(*partition_by)
+    if places is not None:
+        _rewrite(new, path, match_on, partition_by, keys, places)
+        return
+    found, folder = store_incoming(key_places(spark, path, match_on, partition_by, keys), path)
+    try:
+        # told before rows move in: a run that dies in between leaves places too many, never too few
+        added = _keyed(new, match_on, partition_by).distinct()
+        write_table(without(added, found, added.columns), _places_path(path, match_on), partition_by=["_key_bucket"])
+        _rewrite(new, path, match_on, partition_by, keys, found.select(*[F.col(f"_p_{c}").alias(c) for c in partition_by]))
+    finally:
+        delete_path(spark, folder)
+
+
+def _merge_plain(new: DataFrame, path: str, match_on: Sequence[str], keys: DataFrame) -> None:
+    spark = new.sparkSession
     target = read_optional(spark, path, mergeSchema="true")
     if target is None:
-        write_table(new, path, mode="overwrite", partition_by=partition_by, partitionOverwriteMode="static")
+        write_table(new, path, mode="overwrite", partitionOverwriteMode="static")
         return
-    matching = own_shuffle((new if matching is None else matching).select(*match_on).distinct(), match_on)
-    moving = not set(partition_by) <= set(match_on)
-    old = target
-    if places is not None:
-        cols = places.columns
-        wanted = places.unionByName(new.select(*cols)).distinct()
-        old = prune_to(target, wanted, cols).join(own_shuffle(wanted, cols), cols, "left_semi")
-    elif partition_by:
-        target = prune_to(target, new, [c for c in partition_by if c in match_on])
-        touched = new.select(*partition_by).distinct()
-        if moving:  # matching old rows may sit in partitions the new rows do not fill
-            stale = target.join(matching, list(match_on), "left_semi").select(*partition_by)
-            touched = touched.unionByName(stale).distinct()
-        old = target.join(own_shuffle(touched, partition_by), list(partition_by), "left_semi")
-    before = old.select(*partition_by).distinct() if partition_by else None
-    merged = old.join(matching, list(match_on), "left_anti").unionByName(new, allowMissingColumns=True)
+    merged = target.join(own_shuffle(keys, match_on), list(match_on), "left_anti").unionByName(new, allowMissingColumns=True)
     stage = f"{_beside(path, 'stage')}/{uuid.uuid4().hex}"
     write_table(merged, stage, mode="overwrite")
-    if partition_by and (moving or places is not None):
-        # dynamic overwrite leaves a partition alone that has no rows any more
-        filled = spark.read.schema(merged.schema).parquet(stage).select(*partition_by).distinct()
-        drop_partitions(path, without(before, filled, partition_by), partition_by)
-    _swap_in(spark, path, stage, partition_by)
+    _swap_in(spark, path, stage, ())
+
+
+def _rewrite(new: DataFrame, path: str, match_on: Sequence[str], partition_by: Sequence[str], keys: DataFrame,
+             places: DataFrame) -> None:
+    """Rewrite the partitions of ``places`` and of the new rows, beside the table, and move their folders in.
+
+    The folders of one batch's partitions come to the driver, as Spark's own commit of a partitioned write has them there.
+    """
+    spark, cols = new.sparkSession, list(places.columns)
+    if cols != list(partition_by[:len(cols)]):
+        raise ContractError(f"{path}: places {cols} are not the first of {list(partition_by)}")
+    text = [F.col(c).cast("string").alias(c) for c in cols]
+    touched = places.select(*text).unionByName(new.select(*text)).distinct()
+    folders = [partition_path(spark, path, row, cols) for row in touched.toLocalIterator()]
+    present = [f for f in folders if path_exists(spark, f)]
+    old = read_optional_folders(spark, path, present)
+    merged = new if old is None else old.join(own_shuffle(keys, match_on), list(match_on), "left_anti").unionByName(
+        new, allowMissingColumns=True)
+    commit = f"{_beside(path, 'commit')}/{uuid.uuid4().hex}"
+    write_table(merged, f"{commit}/rows", mode="overwrite", partition_by=partition_by, partitionOverwriteMode="static")
+    filled = set(_folders_below(spark, f"{commit}/rows", len(partition_by)))
+    before = [f"{f[len(path) + 1:]}/{deep}".rstrip("/") for f in present for deep in _folders_below(spark, f, len(partition_by) - len(cols))]
+    emptied = spark.createDataFrame([(f,) for f in before if f not in filled], "folder string")
+    emptied.coalesce(1).write.parquet(f"{commit}/emptied")   # its marker makes the commit complete
+    _move_in(spark, path, commit, partition_by)
+
+
+def read_optional_folders(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame | None:
+    """Some partitions of a table with their partition columns; the other folders are neither listed nor opened."""
+    if not folders:
+        return None
+    try:
+        return spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*folders)
+    except AnalysisException as exc:
+        if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":   # folders without files
+            return None
+        raise
+
+
+KEY_BUCKETS = 64   # folders of the table of key places
+
+
+def _places_path(path: str, match_on: Sequence[str]) -> str:
+    return _beside(path, "places_" + "_".join(match_on))
+
+
+def _keyed(rows: DataFrame, match_on: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """Keys that can match (no NULL) and partitions of rows as text, with the folder of their key places."""
+    text = [F.col(c).cast("string").alias(f"_k_{c}") for c in match_on] + [F.col(c).cast("string").alias(f"_p_{c}") for c in partition_by]
+    keys = [f"_k_{c}" for c in match_on]
+    return rows.select(*text).dropna(subset=keys).withColumn("_key_bucket", F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("string"))
+
+
+def key_places(spark: SparkSession, path: str, match_on: Sequence[str], partition_by: Sequence[str], keys: DataFrame) -> DataFrame:
+    """Which partitions may hold rows of these keys, from a narrow table beside one whose partitions its keys do not tell.
+
+    It has each key with each partition that ever held rows of it, in folders by a hash of the key; a merge reads the folders
+    of its keys and appends what is new. A place too many costs reading a partition, no more; ``forget_places`` has
+    it built anew. A table without it is read once, key and partition columns only.
+    """
+    index = _places_path(path, match_on)
+    if not path_exists(spark, f"{index}/_SUCCESS"):
+        stored = read_optional(spark, path, mergeSchema="true")
+        if stored is not None:
+            write_table(_keyed(stored, match_on, partition_by).distinct(), index, mode="overwrite", partition_by=["_key_bucket"],
+                        partitionOverwriteMode="static")
+    wanted = _keyed(keys, match_on)
+    buckets = [r[0] for r in wanted.select("_key_bucket").distinct().toLocalIterator()]
+    known = read_optional_folders(spark, index, [f for f in (f"{index}/_key_bucket={b}" for b in buckets) if path_exists(spark, f)])
+    if known is None:
+        names = [*[f"_k_{c}" for c in match_on], *[f"_p_{c}" for c in partition_by], "_key_bucket"]
+        return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names))
+    on = wanted.columns
+    return known.withColumn("_key_bucket", F.col("_key_bucket").cast("string")).join(own_shuffle(wanted, on), on, "left_semi").distinct()
+
+
+def forget_places(spark: SparkSession, path: str, match_on: Sequence[str]) -> None:
+    """Drop the key places of a table; the next merge builds them anew from its rows."""
+    delete_path(spark, _places_path(path, match_on))
 
 
 def without(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

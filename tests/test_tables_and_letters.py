@@ -124,3 +124,51 @@ def test_release_sends_once(spark, tmp_path):
     assert d.release_due(routed, at(2), claims, send) == 0
     assert d.release_due(routed, at(60), claims, send) == 1
     assert sorted(out, key=repr) == [("t", "a"), ("t", "null"), ("t", None), ("u", "b")]
+
+
+def _break(folder):
+    """Make the data files of a folder unreadable: whoever opens one fails."""
+    for file in folder.rglob("*.parquet"):
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+        file.write_bytes(b"junk")
+
+
+@pytest.mark.parametrize("keys", [["k"], ["k", "p"]])
+def test_a_merge_opens_only_partitions_of_its_keys(spark, tmp_path, keys):
+    path = str(tmp_path / "t")
+    mk = lambda *r: spark.createDataFrame(list(r), DDL)
+    t.replace_by_file(mk(("a", "1", 1), ("a", "2", 2), ("b", "2", 3), ("c", "3", 4), (None, "1", 5)), path, file_keys=keys, partition_by=["p"])
+    _break(tmp_path / "t" / "p=3")
+    t.replace_by_file(mk(("a", "2", 20), ("d", "4", 6)), path, file_keys=keys, partition_by=["p"])
+    left = spark.read.option("basePath", path).parquet(*[f"{path}/p={p}" for p in (1, 2, 4)])
+    first = [("a", "1", 1)] if keys == ["k", "p"] else []
+    assert rows(left, "k", "p", "v") == sorted([*first, ("a", "2", 20), ("b", "2", 3), ("d", "4", 6), (None, "1", 5)], key=repr)
+    with pytest.raises(Exception, match="Parquet|parquet|read"):
+        t.replace_by_file(mk(("c", "3", 7)), path, file_keys=keys, partition_by=["p"])   # this one needs the broken file
+
+
+def test_key_places_follow_rows_and_can_be_built_anew(spark, tmp_path):
+    path = str(tmp_path / "t")
+    mk = lambda *r: spark.createDataFrame(list(r), "k long, p string, q int, v int")
+    put = lambda *r: t.replace_by_file(mk(*r), path, file_keys=["k"], partition_by=["p", "q"])
+    t.write_table(mk((1, "x/1", 1, 1), (2, None, 2, 2)), path, mode="overwrite", partition_by=["p", "q"])   # a table without key places
+    put((1, "y", 1, 10))
+    put((1, "x/1", 1, 100), (2, None, 2, 20), (2, "z", None, 21))
+    t.forget_places(spark, path, ["k"])
+    put((2, "x/1", 3, 200))
+    put()
+    assert rows(t.read_table(spark, path), "k", "p", "q", "v") == [(1, "x/1", "1", 100), (2, "x/1", "3", 200)]
+
+
+def test_a_commit_that_died_is_finished_wherever_it_stopped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    mk = lambda *r: spark.createDataFrame(list(r), DDL)
+    t.write_table(mk(("a", "1", 1), ("b", "2", 2), ("c", "3", 3)), path, mode="overwrite", partition_by=["p"])
+    commit = str(tmp_path / "_t.commit" / "one")
+    t.write_table(mk(("a", "1", 10), ("d", "4", 4)), f"{commit}/rows", mode="overwrite", partition_by=["p"])
+    spark.createDataFrame([("p=2",)], "folder string").write.parquet(f"{commit}/emptied")
+    (tmp_path / "_t.commit" / "one" / "rows" / "p=4").rename(tmp_path / "t" / "p=4")   # died after its first move
+    t.write_table(mk(("x", "3", 9)), str(tmp_path / "_t.commit" / "two" / "rows"), mode="overwrite", partition_by=["p"])   # incomplete
+    t.replace_by_file(mk(("e", "5", 5)), path, file_keys=["k"], partition_by=["p"])
+    assert rows(t.read_table(spark, path), "k", "v") == [("a", 10), ("c", 3), ("d", 4), ("e", 5)]
+    assert list((tmp_path / "_t.commit").iterdir()) == []
