@@ -262,10 +262,12 @@ def report(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def masked(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The rows of ``docs`` with every span replaced by its kind in square brackets, such as ``[EMAIL]``; ``length_col``, if there,
-    is counted anew where the text changed. Null texts stay null. Rows are stored once with their spans; no key is needed."""
+    is counted anew where the text changed. Null texts stay null. The classifier learns from a first
+    pass over the texts; a second one finds the spans again, so no copy of the texts takes disk and no key is needed."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), base_spans(text).alias("base"), described(text).alias("candidates")), "pii")
-    spans = all_spans(F.col("base"), F.col("candidates"), classifier(found))
+    weights = classifier(docs.select(described(text).alias("candidates")))
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), base_spans(text).alias("base"), described(text).alias("candidates"))
+    spans = all_spans(F.col("base"), F.col("candidates"), weights)
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in BASE + ADDED])
     old = F.col("row")[text_col]
 

@@ -97,16 +97,21 @@ def thresholds(rows: DataFrame) -> DataFrame:
     return F.broadcast(out) if few else out
 
 
+def passes(stats: Column, most: Column) -> Column:
+    """most: the limits of the row's group, null where it has none."""
+    within = F.lit(True)
+    for r in RATIOS:
+        within &= ratio(stats, r) <= most[r]
+    return ~base_failed(stats) & F.coalesce(within, F.lit(True))
+
+
 def judged(rows: DataFrame) -> DataFrame:
     """rows: lang, source, stats and any others; adds base_failed and kept. Rows that fail the base rule and
     whose group has no row that passes join nothing and stay."""
     limits = thresholds(rows)
     both = rows.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
-    within = F.lit(True)
-    for r in RATIOS:
-        within &= ratio(F.col("stats"), r) <= F.col("most")[r]
     return both.withColumn("base_failed", base_failed(F.col("stats"))).withColumn(
-        "kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True))).drop("t_lang", "t_source", "most")
+        "kept", passes(F.col("stats"), F.col("most"))).drop("t_lang", "t_source", "most")
 
 
 def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -121,8 +126,10 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def kept_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns. Rows are stored once with their counts, so the
-    texts are neither shuffled nor counted twice."""
-    rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
-                              counts(F.col(text_col)).alias("stats")), "quality")
-    return judged(rows).where("kept").select("row.*")
+    """The rows of ``docs`` that the rules keep, with all their columns. Only the counts are stored; where the rows are
+    judged they are counted again, so no copy of the texts takes disk, and the texts are not shuffled."""
+    group = [F.col(lang_col).alias("lang"), F.col(source_col).alias("source")]
+    limits = thresholds(stored(docs.select(*group, counts(F.col(text_col)).alias("stats")), "quality"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *group)
+    both = rows.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
+    return both.where(let(counts(F.col("row")[text_col]), lambda s: passes(s, F.col("most")))).select("row.*")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,18 +23,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that are run inside delete their shuffle files as they end. Only for frames that are run once: of one
+    that is run again Spark makes the files again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared scratch folder and read back: the plan is cut, lost executors lose nothing.
 
-    What was stored needs its shuffle files no more. Spark's cleaner deletes them once the driver's collector has
-    found the plan unused, so the collector is asked to look now: else disks fill up in a long chain of steps.
+    What was stored needs its shuffle files no more, so they go with the write: else disks fill up in a long chain of steps,
+    for Spark's cleaner waits until the driver's collector happens to find the plan unused.
     """
     spark, schema = df.sparkSession, df.schema
     path = scratch_dir(spark, purpose)
     if (folders := _passing.get()) is not None:
         folders.append(path)
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    with freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
