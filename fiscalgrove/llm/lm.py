@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscalgrove.llm.blocks import exchange, facts, gathered, packed, parts_for, published, stored_blocks, unpacked
-from fiscalgrove.llm.shared import stored
+from fiscalgrove.llm.shared import freed, stored
 
 FOLDS, HELD_OUT = 7, 2
 EM_ROUNDS = 40
@@ -164,8 +164,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in _cells(block, single, pair, n, v)], names=["cell", "n", "two", "one"])
 
     # a cell for each bucket and pair of logarithms at most: a bounded table
-    cells = known.mapInArrow(histogram, "cell long, n long, two double, one double").groupBy("cell").agg(
-        F.sum("n").alias("n"), F.sum("two").alias("two"), F.sum("one").alias("one")).toPandas().sort_values("cell")
+    with freed(docs.sparkSession):
+        cells = known.mapInArrow(histogram, "cell long, n long, two double, one double").groupBy("cell").agg(
+            F.sum("n").alias("n"), F.sum("two").alias("two"), F.sum("one").alias("one")).toPandas().sort_values("cell")
     uniform = 1 / (v + 1)
     weights = learn(*(cells[c].to_numpy() for c in ("cell", "n", "two", "one")), uniform) if len(cells) else {-1: (0.0, 0.0, 1.0)}
 
