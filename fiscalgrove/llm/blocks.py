@@ -121,8 +121,9 @@ def parts_for(entries: int) -> int:
     return max(1, -(-entries // PART_ENTRIES))
 
 
-def stored_blocks(df: DataFrame, make: Callable[[int, pa.RecordBatch], pa.RecordBatch], ddl: str, purpose: str, text_col: str = "text") -> DataFrame:
-    """One call of ``make(block id, rows)`` for about BLOCK_BYTES of text, its result stored. Once stored, nothing is numbered or
+def stored_blocks(df: DataFrame, make: Callable[[int, pa.RecordBatch], pa.RecordBatch], ddl: str, purpose: str, text_col: str = "text",
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One call of ``make(block id, rows)`` for about ``block_bytes`` of text, its result stored. Once stored, nothing is numbered or
     made again, so all later jobs see the same blocks."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +132,7 @@ def stored_blocks(df: DataFrame, make: Callable[[int, pa.RecordBatch], pa.Record
         block = TaskContext.get().partitionId() << 24
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            group = np.cumsum(sizes) // BLOCK_BYTES
+            group = np.cumsum(sizes) // block_bytes
             at = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
             for a, b in zip(at, at[1:]):
                 if b > a:

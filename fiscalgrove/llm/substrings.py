@@ -34,6 +34,8 @@ from fiscalgrove.llm.shared import settled, stored
 LENGTH = 100
 #: bytes of an anchor's string
 DIGIT = 32
+#: bytes of text of a block: where all windows of a block differ in every pass, a task takes about 120 bytes of memory for each
+BLOCK_BYTES = 2 << 20
 #: windows looked at together; places fit in so many bits
 PLACE_BITS = 18
 #: stands in the order of ids for a null
@@ -285,7 +287,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         step = each(lambda b: pa.RecordBatch.from_pylist([Block(b, length, width).next_state(b["group"], narrower)], schema=state))
         return lambda: settled(spark, lambda: told(blocks(), width).mapInArrow(step, _BLOCK), "suffix-units")   # deletes the pass before
 
-    widths, blocks = _widths(length), lambda: stored_blocks(rows, block, _BLOCK, "suffix-blocks")
+    widths, blocks = _widths(length), lambda: stored_blocks(rows, block, _BLOCK, "suffix-blocks", block_bytes=BLOCK_BYTES)
     for width, narrower in zip([0, *widths], widths):
         blocks = after(blocks, width, narrower)
     result = told(blocks(), 1).mapInArrow(each(cut), "id long, n_bytes long, starts array<long>, ends array<long>, kept binary")
