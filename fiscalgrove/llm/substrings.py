@@ -134,7 +134,8 @@ class Block:
             group = np.cumsum(keep) - 1
             ends = np.searchsorted(group, np.arange(group[-1] + 1), side="right") - 1
             first, at, anchor, head, last, tail = first[keep], at[keep], anchor[keep], head[keep], last[ends], tail[ends]
-        self.at, self.first, self.last, self.key = at, first, last, anchor.astype(np.uint64)
+        # anchors are least hashes, so most lie in the lowest parts of the key space: mixed again, one to one, they spread over all
+        self.at, self.first, self.last, self.key = at, first, last, _mix(anchor.astype(np.uint64), np.uint64(0))
         # its first and last window cover a span; zero is kept for "several"
         self.whole = np.maximum(_mix(_mix(head.astype(np.uint64), tail.astype(np.uint64)), (last - first).astype(np.uint64)), np.uint64(1))
 
