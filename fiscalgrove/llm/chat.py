@@ -82,7 +82,7 @@ def masked_spans(tokens: np.ndarray, turns: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``most`` characters each: an encoding takes a hundred times its text's memory."""
+    """Parts of a batch with about ``most`` characters each: what comes of a part is sent on before the next one."""
     sizes = np.array([sum(len(t.as_py()) for t in texts) for texts in batch.column("text")], dtype=np.int64)
     group = np.cumsum(sizes) // most
     at = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
@@ -117,12 +117,15 @@ def format_chats(conversations: DataFrame, tokenizer: str, learn: str = "assista
         encoder.encode_special_tokens = True  # the template's own escapes decide what is control
         for batch in batches:
             for part in slices(batch):
-                rendered = [render(list(zip(r.as_py(), t.as_py())), learn) for r, t in zip(part.column("role"), part.column("text"))]
                 rows = []
-                for (text, spans), code in zip(rendered, encoder.encode_batch([text for text, _ in rendered], add_special_tokens=False)):
+                for r, t in zip(part.column("role"), part.column("text")):
+                    text, spans = render(list(zip(r.as_py(), t.as_py())), learn)
+                    # one by one: an encoding takes a hundred times its text's memory, and a batch would be encoded by a thread
+                    # for each of the machine's cores, each with a heap of its own that the worker keeps
+                    code = encoder.encode(text, add_special_tokens=False)
                     tokens = np.array(code.offsets, dtype=np.int64).reshape(-1, 2)
                     mask, starts, ends = masked_spans(tokens, np.array(spans, dtype=np.int64).reshape(-1, 2))
-                    rows.append((text, code.ids, mask, starts, ends))
+                    rows.append((text, np.array(code.ids, dtype=np.int32), mask, starts, ends))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("conv_id").cast(pa.string()), pa.array([len(r) for r in part.column("role")], pa.int64()),
                      *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
