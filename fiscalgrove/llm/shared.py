@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalgrove.session import scratch_dir
+from fiscalgrove.session import freed, scratch_dir
 from fiscalgrove.sources.tables import delete_path
 
 #: a word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return
@@ -23,19 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@contextmanager
-def freed(spark: SparkSession) -> Iterator[None]:
-    """Queries that are run inside delete their shuffle files as they end. Only for frames that are run once: of one
-    that is run again Spark makes the files again."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared scratch folder and read back: the plan is cut, lost executors lose nothing.
 

@@ -14,13 +14,16 @@ cut into chunks of neighbouring lines:
 
 The wide rows are shuffled once, and no group is larger than a chunk.
 
-Marks may also carry the ancestors of the parent they stand for. Only lines of parent types are linked
-upwards for that, on three narrow columns, so the wide rows get their whole ancestor path from the same shuffle.
+With ancestor paths, lines of parent types are their own marks: a group is a chunk, and one window per level of the
+rules runs over it, from the root down, so that a line finds the whole path of its parent. What earlier chunks leave is put
+together beforehand from the lines of parent types alone (``chunk_carries``) and is one row per chunk that needs it. Paths may bring fields of the ancestors
+along, so wide rows are shuffled once for tree and inheritance together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,21 +40,33 @@ PATH = "array<struct<reg:string,id:bigint>>"
 
 def link_parents(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_source_file",
                  id_col: str = "_row_id", reg_col: str = "REG", root: str = "0000",
-                 chunk_bits: int = CHUNK_BITS, path_col: str | None = None) -> DataFrame:
+                 chunk_bits: int = CHUNK_BITS, path_col: str | None = None, brings: Column | None = None,
+                 carried: DataFrame | None = None) -> DataFrame:
     """Add ``_expected_parent`` (record type) and ``_parent_uid_final`` (row id), and with ``path_col``
     the line's ancestors from the parent up to a root (empty for a line without any).
 
     ``id_col`` is a non-negative long that follows line order inside a file; parents'
     ids are unique there. The input is scanned three times (twice on three columns
-    only; more often on these for paths), so pass a stored table or a checkpoint rather than a long plan.
+    only; with paths on the lines of parent types the second time), so pass a stored table or a checkpoint rather than a long plan.
+
+    ``brings``, with paths: a struct of what a line hands down (``lookup.handed_down``), NULL for nothing. Each ancestor then has ``rows``,
+    the structs of all lines with its id. ``carried``: the stored result of ``chunk_carries`` with the same arguments, which frees
+    the shuffle files it took; left out, it is part of the plan.
     """
     rules = list(rules)
     parent_of, to_root = parent_rules(rules)
     wants = {**parent_of, **{reg: root for reg in to_root}}
+    expected = F.try_element_at(code_map(parent_of), F.col(reg_col)) if parent_of \
+        else F.lit(None).cast("string")
     if not wants:
-        none = {path_col: F.array().cast(PATH)} if path_col else {}
+        none = {path_col: F.array().cast(_path_kind(df, brings))} if path_col else {}
         return df.withColumns({"_expected_parent": F.lit(None).cast("string"),
                                "_parent_uid_final": F.lit(None).cast("long"), **none})
+    if path_col:
+        if carried is None:
+            carried = chunk_carries(df, rules, file_col=file_col, id_col=id_col, reg_col=reg_col, root=root, chunk_bits=chunk_bits, brings=brings)
+        linked = _link_with_paths(df, carried, wants, file_col, id_col, reg_col, root, chunk_bits, path_col, brings)
+        return linked.withColumn("_expected_parent", expected)
     keys = sorted(set(wants.values()))
     key = ["_t_file", "_t_chunk", "_t_want"]
 
@@ -60,23 +75,15 @@ def link_parents(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_s
     chunk = F.shiftright(rid, chunk_bits)
     narrow = df.select(F.col(file_col).alias("_t_file"), rid.alias("_t_id"), reg.alias("_t_reg"))
     parents = narrow.filter(F.col("_t_reg").isin(sorted({*keys, root})))
-    if path_col:
-        parents = _with_paths(parents, rules, root, chunk_bits)
-        # the greatest id is the last parent; ids are unique, so the path behind it decides nothing
-        value = F.struct(F.col("_t_id").alias("id"), F.concat(F.array(F.struct(F.col("_t_reg").alias("reg"), F.col("_t_id").alias("id"))), F.col("_t_path")).alias("path"))
-        kind = f"struct<id:bigint,path:{PATH}>"
-    else:
-        value, kind = F.col("_t_id"), "long"
-
     marks = (parents.select("_t_file", F.shiftright("_t_id", chunk_bits).alias("_t_chunk"), "_t_id",
-                            F.inline(_marks(F.col("_t_reg"), value, kind, keys, root))))
+                            F.inline(_marks(F.col("_t_reg"), F.col("_t_id"), "long", keys, root))))
     lines = df.select(F.col(file_col).alias("_t_file"), chunk.alias("_t_chunk"),
                       rid.alias("_t_id"), want.alias("_t_want"),
-                      F.lit(None).cast(kind).alias("_t_def"),
-                      F.lit(None).cast(kind).alias("_t_root"),
+                      F.lit(None).cast("long").alias("_t_def"),
+                      F.lit(None).cast("long").alias("_t_root"),
                       F.struct(*df.columns).alias("_t_line"))
     asked = narrow.select("_t_file", F.shiftright("_t_id", chunk_bits).alias("_t_chunk"), F.try_element_at(code_map(wants), "_t_reg").alias("_t_want"),
-                          F.lit(None).cast(kind).alias("_t_def"), F.lit(None).cast(kind).alias("_t_root"))
+                          F.lit(None).cast("long").alias("_t_def"), F.lit(None).cast("long").alias("_t_root"))
     carried = _carry(asked.unionByName(marks.drop("_t_id")), chunk_bits)
     narrow_marks = marks.unionByName(carried).withColumn(
         "_t_line", F.lit(None).cast(lines.schema["_t_line"].dataType))
@@ -87,11 +94,7 @@ def link_parents(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_s
               .rowsBetween(Window.unboundedPreceding, -1))
     found = F.coalesce(F.max("_t_def").over(before), F.max("_t_root").over(before))
     linked = lines.unionByName(narrow_marks).withColumn("_t_found", found)
-    of_line = [F.col("_t_found")["id"].alias("_parent_uid_final"), F.coalesce(F.col("_t_found")["path"], F.array().cast(PATH)).alias(path_col)] if path_col \
-        else [F.col("_t_found").alias("_parent_uid_final")]
-    out = linked.filter(F.col("_t_line").isNotNull()).select("_t_line.*", *of_line)
-    expected = F.try_element_at(code_map(parent_of), reg) if parent_of \
-        else F.lit(None).cast("string")
+    out = linked.filter(F.col("_t_line").isNotNull()).select("_t_line.*", F.col("_t_found").alias("_parent_uid_final"))
     return out.withColumn("_expected_parent", expected)
 
 
@@ -140,20 +143,159 @@ def levels_above(rules: Iterable[Mapping], root: str = "0000") -> int:
     return deepest
 
 
-def _with_paths(parents: DataFrame, rules: list[Mapping], root: str, chunk_bits: int) -> DataFrame:
-    """parents: ``_t_file, _t_id, _t_reg`` of all lines of parent types. With ``_t_path``, their own ancestors.
+def _levels(wants: Mapping[str, str], root: str) -> list[list[str]]:
+    """Parent types, the ones without a parent type first, each behind the type it wants."""
+    def depth(reg: str) -> int:
+        return 1 + depth(wants[reg]) if reg in wants else 0
+
+    kinds = {*wants.values(), root}
+    return [sorted(k for k in kinds if depth(k) == d) for d in range(1 + max(map(depth, kinds)))]
+
+
+def _path_kind(df: DataFrame, brings: Column | None) -> str:
+    if brings is None:
+        return PATH
+    return f"array<struct<reg:string,id:bigint,rows:array<{df.select(brings.alias('r')).schema['r'].dataType.simpleString()}>>>"
+
+
+def _carry_kind(slots: Mapping[str, str], kind: str) -> str:
+    return f"struct<{','.join(f'{c}:struct<id:bigint,path:{kind}>' for c in slots.values())}>"
+
 
-    The parents of parents are found like those of lines; then one equi join per level follows them up. Every level joins
-    the same narrow table, so it is shuffled once and reused.
+_NEAR = ("_t_file", "_t_chunk")
+
+
+def _before() -> Window:
+    """Lines of smaller ids in the chunk: lines that share an id are not before each other."""
+    return Window.partitionBy(*_NEAR).orderBy("_t_id").rangeBetween(Window.unboundedPreceding, -1)
+
+
+def _itself(brings: bool) -> Column:
+    """A line as an ancestor in a path. Nothing is handed down where files or ids cannot be compared."""
+    rows = [F.col("_t_rows").alias("rows")] if brings else []
+    return F.array(F.struct(F.col("_t_reg").alias("reg"), F.col("_t_id").alias("id"), *rows))
+
+
+def _same_id(own: Column) -> Column:
+    """What all lines with the id of a line hand down."""
+    comparable = F.col("_t_file").isNotNull() & F.col("_t_id").isNotNull()
+    return F.collect_list(F.when(comparable, own)).over(Window.partitionBy(*_NEAR).orderBy("_t_id").rangeBetween(0, 0))
+
+
+def chunk_carries(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_source_file", id_col: str = "_row_id", reg_col: str = "REG",
+                  root: str = "0000", chunk_bits: int = CHUNK_BITS, brings: Column | None = None) -> DataFrame:
+    """What ``link_parents`` needs of earlier chunks for paths: for each chunk the last parents before it, with their own paths.
+
+    Chunks of lines of parent types are summed up first; a path that leaves its chunk stays open there, and is closed as the sums of a
+    file's chunks are run over in order. A chunk gets only those parents that one of its lines asks for before it has one of its own.
     """
-    linked = link_parents(parents, rules, file_col="_t_file", id_col="_t_id", reg_col="_t_reg", root=root, chunk_bits=chunk_bits)
-    above = linked.select(F.col("_t_file").alias("_a_file"), F.col("_t_id").alias("_a_id"), F.col("_t_reg").alias("_a_reg"), F.col("_parent_uid_final").alias("_a_next"))
-    out = linked.select("_t_file", "_t_id", "_t_reg", F.array().cast(PATH).alias("_t_path"), F.col("_parent_uid_final").alias("_t_next"))
-    for _ in range(levels_above(rules, root)):
-        hit = (F.col("_t_file") == F.col("_a_file")) & (F.col("_t_next") == F.col("_a_id"))
-        step = F.when(F.col("_a_id").isNotNull(), F.array(F.struct(F.col("_a_reg").alias("reg"), F.col("_a_id").alias("id")))).otherwise(F.array())
-        out = out.join(above, hit, "left").select("_t_file", "_t_id", "_t_reg", F.concat("_t_path", step).cast(PATH).alias("_t_path"), F.col("_a_next").alias("_t_next"))
-    return out.drop("_t_next")
+    rules = list(rules)
+    parent_of, to_root = parent_rules(rules)
+    wants = {**parent_of, **{reg: root for reg in to_root}}
+    levels_above(rules, root)
+    levels, kind = _levels(wants, root), _path_kind(df, brings)
+    kinds = [k for level in levels for k in level]
+    slots = {k: f"c{i}" for i, k in enumerate(kinds)}
+    reg, rid, want = F.col(reg_col), F.col(id_col).cast("long"), F.try_element_at(code_map(wants), F.col(reg_col))
+    place = [F.col(file_col).alias("_t_file"), F.shiftright(rid, chunk_bits).alias("_t_chunk")]
+    own = [] if brings is None else [F.when(reg.isNotNull(), brings).alias("_t_own")]
+    by_lines = sorted({w for r, w in wants.items() if r not in slots})
+
+    # lines of other types: the first line of a chunk that asks for each type
+    asks = df.filter(want.isin(by_lines) & ~reg.isin(kinds) & rid.isNotNull()).groupBy(*place).agg(
+        *[F.min(F.when(want == k, rid)).alias(f"_t_ask_{slots[k]}") for k in by_lines]) if by_lines else None
+    each = df.filter(reg.isin(kinds)).select(*place, rid.alias("_t_id"), reg.alias("_t_reg"), *own)
+    if asks is not None:
+        each = each.unionByName(asks, allowMissingColumns=True)
+    if own:
+        each = each.withColumn("_t_rows", _same_id(F.col("_t_own"))).drop("_t_own")
+
+    # inside a chunk: path so far, the type it is open for, the root it falls back to if there is none
+    mark_kind = f"struct<id:bigint,path:{kind},open:string,fall:{kind}>"
+    each = each.withColumns({"_t_up": F.lit(None).cast(mark_kind), "_t_fall": F.lit(None).cast(kind)})
+    chained = F.col("_t_file").isNotNull()
+    up, wanted = F.col("_t_up"), F.try_element_at(code_map(wants), F.col("_t_reg"))
+    itself = _itself(brings is not None)
+    mark = F.when(F.col("_t_id").isNotNull() & F.col("_t_reg").isNotNull(), F.struct(
+        F.col("_t_id").alias("id"),
+        F.when(chained & up.isNotNull(), F.concat(itself, up["path"])).otherwise(itself).cast(kind).alias("path"),
+        F.when(chained, F.when(up.isNotNull(), up["open"]).otherwise(wanted)).alias("open"),
+        F.when(up.isNotNull(), up["fall"]).otherwise(F.col("_t_fall")).alias("fall")))
+    asked = {wants[k] for k in kinds if k in wants} | {root}
+    for level in levels:
+        now = [k for k in level if k in asked]
+        if not now:
+            continue
+        each = each.withColumns({f"_t_{slots[k]}": F.last(F.when(F.col("_t_reg") == k, mark), ignorenulls=True).over(_before()) for k in now})
+        updated = {"_t_up": reduce(lambda at, k: at.when(wanted == k, F.col(f"_t_{slots[k]}")), now, F).otherwise(up)}
+        if root in now:
+            updated["_t_fall"] = F.col(f"_t_{slots[root]}")["path"]
+        each = each.withColumns(updated).drop(*[f"_t_{slots[k]}" for k in now])
+
+    def first_ask(k: str) -> Column:
+        by_parents = F.when(wanted == k, F.col("_t_id"))
+        return F.min(F.coalesce(by_parents, F.col(f"_t_ask_{slots[k]}")) if k in by_lines else by_parents)
+
+    sums = each.groupBy(*_NEAR).agg(
+        *[F.max(F.when(F.col("_t_reg") == k, mark)).alias(f"_s_{slots[k]}") for k in kinds],
+        *[F.struct(first_ask(k).alias("ask"), F.min(F.when(F.col("_t_reg") == k, F.col("_t_id"))).alias("has")).alias(f"_n_{slots[k]}") for k in kinds])
+    need = {k: F.col(f"_n_{slots[k]}") for k in kinds}
+    sums = sums.withColumns({f"_n_{slots[k]}": F.coalesce(F.col("_t_chunk").isNotNull() & n["ask"].isNotNull() & (n["has"].isNull() | (n["ask"] <= n["has"])), F.lit(False))
+                             for k, n in need.items()})
+
+    # over the chunks of a file
+    earlier = Window.partitionBy("_t_file").orderBy("_t_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    for level in levels:
+        columns = {}
+        for k in level:
+            s, above = F.col(f"_s_{slots[k]}"), []
+            at = k
+            while at in wants:
+                at = wants[at]
+                above.append(at)
+            paths = [F.when(s["open"] == u, F.col(f"_c_{slots[u]}")["path"]) for u in above]
+            fallback = [s["fall"], F.col(f"_c_{slots[root]}")["path"]] if above else []
+            path = F.when(s["open"].isNull(), s["path"]).otherwise(F.concat(s["path"], F.coalesce(*paths, *fallback, F.array().cast(kind)))) if above else s["path"]
+            closed = F.when(s.isNotNull(), F.struct(s["id"].alias("id"), path.alias("path")))
+            columns[f"_c_{slots[k]}"] = F.last(closed, ignorenulls=True).over(earlier)
+        sums = sums.withColumns(columns).drop(*[f"_s_{slots[k]}" for k in level])
+    last, needs = {k: F.col(f"_c_{c}") for k, c in slots.items()}, {k: F.col(f"_n_{c}") for k, c in slots.items()}
+    falls = reduce(lambda a, b: a | b, [needs[k] & (last[k].isNull() if k != root else F.lit(True)) for k in kinds])
+    carry = F.struct(*[F.when(falls if k == root else needs[k], last[k]).alias(slots[k]) for k in kinds]).cast(_carry_kind(slots, kind))
+    out = sums.select(*_NEAR, (F.shiftleft("_t_chunk", chunk_bits) - 1).alias("_t_id"), carry.alias("_t_carry"))
+    return out.filter(reduce(lambda a, b: a | b, [F.col("_t_carry")[c].isNotNull() for c in slots.values()]))
+
+
+def _link_with_paths(df: DataFrame, carried: DataFrame, wants: Mapping[str, str], file_col: str, id_col: str, reg_col: str, root: str,
+                     chunk_bits: int, path_col: str, brings: Column | None) -> DataFrame:
+    levels, kind = _levels(wants, root), _path_kind(df, brings)
+    kinds = [k for level in levels for k in level]
+    slots = {k: f"c{i}" for i, k in enumerate(kinds)}
+    rid = F.col(id_col).cast("long")
+    # columns that the keys hold already are not moved twice
+    back = {file_col: F.col("_t_file")}
+    if dict(df.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint"):
+        back[id_col] = F.col("_t_id").cast(dict(df.dtypes)[id_col])
+    rest = [c for c in df.columns if c not in back]
+    lines = df.select(F.col(file_col).alias("_t_file"), F.shiftright(rid, chunk_bits).alias("_t_chunk"), rid.alias("_t_id"),
+                      F.struct(*rest).alias("_t_line"), F.lit(None).cast(_carry_kind(slots, kind)).alias("_t_carry"))
+    # an exchange of its own: what is worked out of the lines must not move below it
+    dealt = lines.unionByName(carried, allowMissingColumns=True).repartition(*_NEAR)
+    every = dealt.select(*_NEAR, "_t_id", "_t_carry", *[back[c].alias(c) if c in back else F.col("_t_line")[c].alias(c) for c in df.columns])
+    every = every.withColumns({"_t_reg": F.col(reg_col), "_t_found": F.lit(None).cast(f"struct<id:bigint,path:{kind}>"),
+                               **({"_t_rows": _same_id(F.when(F.col(reg_col).isNotNull(), brings))} if brings is not None else {})})
+    found, wanted = F.col("_t_found"), F.try_element_at(code_map(wants), F.col("_t_reg"))
+    itself = _itself(brings is not None)
+    mark = F.when(F.col("_t_id").isNotNull(), F.struct(F.col("_t_id").alias("id"), F.when(
+        F.col("_t_file").isNotNull() & found.isNotNull(), F.concat(itself, found["path"])).otherwise(itself).cast(kind).alias("path")))
+    for level in levels:
+        every = every.withColumns({f"_t_{slots[k]}": F.last(F.coalesce(F.when(F.col("_t_reg") == k, mark), F.col("_t_carry")[slots[k]]), ignorenulls=True).over(_before()) for k in level})
+        here = reduce(lambda at, k: at.when(wanted == k, F.col(f"_t_{slots[k]}")), level, F).otherwise(F.lit(None))
+        # a root is found first, and stays unless the wanted type is found
+        fallback = F.when(wanted.isNotNull(), F.col(f"_t_{slots[root]}")) if root in level else found
+        every = every.withColumn("_t_found", F.when(F.col("_t_id").isNotNull(), F.coalesce(here, fallback))).drop(*[f"_t_{slots[k]}" for k in level])
+    return every.filter(F.col("_t_carry").isNull()).select(*df.columns, found["id"].alias("_parent_uid_final"),
+                                                           F.coalesce(found["path"], F.array().cast(kind)).alias(path_col))
 
 
 def misplaced_lines(linked: DataFrame, *, file_col: str = "_source_file", id_col: str = "_row_id",

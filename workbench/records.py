@@ -11,8 +11,8 @@ from fiscalgrove import functions as fx
 from fiscalgrove.catalog import Layout, catalogue_from_mapping
 from fiscalgrove.functions.scalars import DOCUMENT_STATUS, TAX_REGIMES
 from fiscalgrove.operators.columns import order_columns, project_record, project_superset
-from fiscalgrove.operators.lookup import inherit_by_map
-from fiscalgrove.operators.tree import header_of_files, link_parents, misplaced_lines, propagate_header
+from fiscalgrove.operators.lookup import handed_down, inherit_by_map
+from fiscalgrove.operators.tree import chunk_carries, header_of_files, link_parents, misplaced_lines, propagate_header
 from fiscalgrove.operators.version import latest_version, resolve_amended_headers, resolve_amended_names
 from fiscalgrove.session import scratch_dir
 from fiscalgrove.sources.records import discover_periods, number_lines, parse_records, read_lines, tag_records, with_cols
@@ -298,7 +298,9 @@ def _deep_lines(spark, sf):
 def inherited_map(spark, sf):
     """Four levels of lines; each takes fields of its parent, grandparent and header, by a map."""
     bronze = stored(tag_records(_deep_lines(spark, sf)), "deep")
-    linked = link_parents(bronze, _DEEP_RULES, path_col="_ancestors")
+    brings = handed_down(_INHERITED, _DEEP, F.split("value", r"\|"))
+    carried = stored(chunk_carries(bronze, _DEEP_RULES, brings=brings), "carried")
+    linked = link_parents(bronze, _DEEP_RULES, path_col="_ancestors", brings=brings, carried=carried)
     wide = project_superset(with_cols(linked), _DEEP)
     out = inherit_by_map(wide, with_cols(bronze), _INHERITED, _DEEP, path_col="_ancestors")
     return out.select(F.col("_source_file").cast("long").alias("file"), F.col("_row_id").alias("line"), "REG", F.size("_ancestors").alias("levels"),
