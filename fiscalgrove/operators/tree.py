@@ -176,6 +176,11 @@ def _itself(brings: bool) -> Column:
     return F.array(F.struct(F.col("_t_reg").alias("reg"), F.col("_t_id").alias("id"), *rows))
 
 
+def _numbered(found: Column) -> Column:
+    """A parent without a row id ends a path: it is shown as the parent of lines, but has no place among the ancestors of parents."""
+    return F.when(found["id"].isNotNull(), found)
+
+
 def _same_id(own: Column) -> Column:
     """What all lines with the id of a line hand down."""
     comparable = F.col("_t_file").isNotNull() & F.col("_t_id").isNotNull()
@@ -213,10 +218,10 @@ def chunk_carries(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_
     # inside a chunk: path so far, the type it is open for, the root it falls back to if there is none
     mark_kind = f"struct<id:bigint,path:{kind},open:string,fall:{kind}>"
     each = each.withColumns({"_t_up": F.lit(None).cast(mark_kind), "_t_fall": F.lit(None).cast(kind)})
-    chained = F.col("_t_file").isNotNull()
+    chained = F.col("_t_file").isNotNull() & F.col("_t_id").isNotNull()
     up, wanted = F.col("_t_up"), F.try_element_at(code_map(wants), F.col("_t_reg"))
     itself = _itself(brings is not None)
-    mark = F.when(F.col("_t_id").isNotNull() & F.col("_t_reg").isNotNull(), F.struct(
+    mark = F.when(F.col("_t_reg").isNotNull(), F.struct(
         F.col("_t_id").alias("id"),
         F.when(chained & up.isNotNull(), F.concat(itself, up["path"])).otherwise(itself).cast(kind).alias("path"),
         F.when(chained, F.when(up.isNotNull(), up["open"]).otherwise(wanted)).alias("open"),
@@ -253,14 +258,14 @@ def chunk_carries(df: DataFrame, rules: Iterable[Mapping], *, file_col: str = "_
             while at in wants:
                 at = wants[at]
                 above.append(at)
-            paths = [F.when(s["open"] == u, F.col(f"_c_{slots[u]}")["path"]) for u in above]
-            fallback = [s["fall"], F.col(f"_c_{slots[root]}")["path"]] if above else []
+            paths = [F.when(s["open"] == u, _numbered(F.col(f"_c_{slots[u]}"))["path"]) for u in above]
+            fallback = [s["fall"], _numbered(F.col(f"_c_{slots[root]}"))["path"]] if above else []
             path = F.when(s["open"].isNull(), s["path"]).otherwise(F.concat(s["path"], F.coalesce(*paths, *fallback, F.array().cast(kind)))) if above else s["path"]
             closed = F.when(s.isNotNull(), F.struct(s["id"].alias("id"), path.alias("path")))
             columns[f"_c_{slots[k]}"] = F.last(closed, ignorenulls=True).over(earlier)
         sums = sums.withColumns(columns).drop(*[f"_s_{slots[k]}" for k in level])
     last, needs = {k: F.col(f"_c_{c}") for k, c in slots.items()}, {k: F.col(f"_n_{c}") for k, c in slots.items()}
-    falls = reduce(lambda a, b: a | b, [needs[k] & (last[k].isNull() if k != root else F.lit(True)) for k in kinds])
+    falls = reduce(lambda a, b: a | b, [needs[k] & (_numbered(last[k]).isNull() if k != root else F.lit(True)) for k in kinds])
     carry = F.struct(*[F.when(falls if k == root else needs[k], last[k]).alias(slots[k]) for k in kinds]).cast(_carry_kind(slots, kind))
     out = sums.select(*_NEAR, (F.shiftleft("_t_chunk", chunk_bits) - 1).alias("_t_id"), carry.alias("_t_carry"))
     return out.filter(reduce(lambda a, b: a | b, [F.col("_t_carry")[c].isNotNull() for c in slots.values()]))
@@ -282,18 +287,21 @@ def _link_with_paths(df: DataFrame, carried: DataFrame, wants: Mapping[str, str]
     # an exchange of its own: what is worked out of the lines must not move below it
     dealt = lines.unionByName(carried, allowMissingColumns=True).repartition(*_NEAR)
     every = dealt.select(*_NEAR, "_t_id", "_t_carry", *[back[c].alias(c) if c in back else F.col("_t_line")[c].alias(c) for c in df.columns])
-    every = every.withColumns({"_t_reg": F.col(reg_col), "_t_found": F.lit(None).cast(f"struct<id:bigint,path:{kind}>"),
+    nothing = F.lit(None).cast(f"struct<id:bigint,path:{kind}>")
+    every = every.withColumns({"_t_reg": F.col(reg_col), "_t_found": nothing, "_t_up": nothing,
                                **({"_t_rows": _same_id(F.when(F.col(reg_col).isNotNull(), brings))} if brings is not None else {})})
-    found, wanted = F.col("_t_found"), F.try_element_at(code_map(wants), F.col("_t_reg"))
+    found, up, wanted = F.col("_t_found"), F.col("_t_up"), F.try_element_at(code_map(wants), F.col("_t_reg"))
     itself = _itself(brings is not None)
-    mark = F.when(F.col("_t_id").isNotNull(), F.struct(F.col("_t_id").alias("id"), F.when(
-        F.col("_t_file").isNotNull() & found.isNotNull(), F.concat(itself, found["path"])).otherwise(itself).cast(kind).alias("path")))
+    mark = F.struct(F.col("_t_id").alias("id"), F.when(F.col("_t_file").isNotNull() & up.isNotNull(), F.concat(itself, up["path"])).otherwise(itself).cast(kind).alias("path"))
     for level in levels:
-        every = every.withColumns({f"_t_{slots[k]}": F.last(F.coalesce(F.when(F.col("_t_reg") == k, mark), F.col("_t_carry")[slots[k]]), ignorenulls=True).over(_before()) for k in level})
+        every = every.withColumns({f"_t_{slots[k]}": F.last(F.coalesce(F.when(F.col("_t_id").isNotNull() & (F.col("_t_reg") == k), mark), F.col("_t_carry")[slots[k]]),
+                                                            ignorenulls=True).over(_before()) for k in level})
         here = reduce(lambda at, k: at.when(wanted == k, F.col(f"_t_{slots[k]}")), level, F).otherwise(F.lit(None))
         # a root is found first, and stays unless the wanted type is found
-        fallback = F.when(wanted.isNotNull(), F.col(f"_t_{slots[root]}")) if root in level else found
-        every = every.withColumn("_t_found", F.when(F.col("_t_id").isNotNull(), F.coalesce(here, fallback))).drop(*[f"_t_{slots[k]}" for k in level])
+        fallback, fallback_up = (F.when(wanted.isNotNull(), F.col(f"_t_{slots[root]}")),) * 2 if root in level else (found, up)
+        comparable, parent = F.col("_t_id").isNotNull(), F.col("_t_reg").isin(kinds)
+        every = every.withColumns({"_t_found": F.when(comparable, F.coalesce(here, fallback)),
+                                   "_t_up": F.when(comparable & parent, F.coalesce(_numbered(here), _numbered(fallback_up)))}).drop(*[f"_t_{slots[k]}" for k in level])
     return every.filter(F.col("_t_carry").isNull()).select(*df.columns, found["id"].alias("_parent_uid_final"),
                                                            F.coalesce(found["path"], F.array().cast(kind)).alias(path_col))
 
